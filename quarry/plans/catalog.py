@@ -111,3 +111,83 @@ GROUP BY lang""")
 def q_curation_summary(spark, sf):
     from quarry.plans.curation import curation_summary
     return curation_summary(tables.documents(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# A1 A2 J1 exact line dedup
+# ---------------------------------------------------------------------------
+
+_LINES_SQL = f"""
+  l AS (SELECT doc_id, unnest(range(0, len(lines))) AS pos, unnest(lines) AS line
+        FROM (SELECT doc_id, {S.file_lines('text')} AS lines FROM documents)),
+  c AS (SELECT md5(line) AS h, count(*) AS c FROM l GROUP BY 1),
+  k AS (SELECT l.doc_id, l.pos, l.line FROM l JOIN c ON md5(l.line) = c.h WHERE c.c = 1)"""
+
+
+@register("line_dedup", f"""
+WITH {_LINES_SQL},
+  agg AS (SELECT doc_id, string_agg(line || chr(10), '' ORDER BY pos) AS text, count(*) AS n_kept
+          FROM k GROUP BY doc_id)
+SELECT d.doc_id, coalesce(agg.text, '') AS text,
+       len({S.file_lines('d.text')})::BIGINT AS n_lines, coalesce(agg.n_kept, 0)::BIGINT AS n_kept
+FROM documents d LEFT JOIN agg USING (doc_id)""")
+def q_line_dedup(spark, sf):
+    from quarry.operators.dedup import exact_line_dedup
+    docs = tables.documents(spark, sf).select("doc_id", "text")
+    return exact_line_dedup(docs).select("doc_id", "text", "n_lines", "n_kept")
+
+
+@register("line_dedup_stats", f"""
+WITH {_LINES_SQL},
+  per AS (SELECT d.doc_id, len({S.file_lines('d.text')}) AS n_lines,
+                 (SELECT count(*) FROM k WHERE k.doc_id = d.doc_id) AS n_kept
+          FROM documents d)
+SELECT sum(n_lines)::BIGINT AS n_lines, sum(n_kept)::BIGINT AS n_kept,
+       count_if(n_kept = 0)::BIGINT AS n_empty_docs FROM per""")
+def q_line_dedup_stats(spark, sf):
+    from quarry.operators.dedup import exact_line_dedup
+    docs = tables.documents(spark, sf).select("doc_id", "text")
+    d = exact_line_dedup(docs)
+    return d.agg(F.sum("n_lines").cast("bigint").alias("n_lines"),
+                 F.sum("n_kept").cast("bigint").alias("n_kept"),
+                 F.count_if(F.col("n_kept") == 0).cast("bigint").alias("n_empty_docs"))
+
+
+@register("line_frequency_top", f"""
+SELECT md5(line) AS line_hash, count(*)::BIGINT AS cnt, min(line) AS line
+FROM (SELECT unnest({S.file_lines('text')}) AS line FROM documents)
+GROUP BY 1 ORDER BY cnt DESC, line_hash LIMIT 20""")
+def q_line_frequency_top(spark, sf):
+    from quarry.operators.dedup import line_frequency
+    lf = line_frequency(tables.documents(spark, sf).select("doc_id", "text"))
+    return lf.orderBy(F.desc("cnt"), "line_hash").limit(20)
+
+
+# ---------------------------------------------------------------------------
+# P14 A3-A6 J2-J5 W9 MinHash-LSH dedup
+# ---------------------------------------------------------------------------
+
+@register("minhash_dedup", f"""
+SELECT doc_id FROM documents
+WHERE doc_id NOT IN ({S.minhash_removed_sql(20, 5, 5, 0.8)})""")
+def q_minhash_dedup(spark, sf):
+    from quarry.operators.dedup import minhash_dedup
+    docs = tables.documents(spark, sf).select("doc_id", "text")
+    return minhash_dedup(docs, 20, 5, 5, 0.8).select("doc_id")
+
+
+@register("minhash_dedup_loose", f"""
+SELECT doc_id FROM documents
+WHERE doc_id NOT IN ({S.minhash_removed_sql(20, 10, 3, 0.5)})""")
+def q_minhash_dedup_loose(spark, sf):
+    from quarry.operators.dedup import minhash_dedup
+    docs = tables.documents(spark, sf).select("doc_id", "text")
+    return minhash_dedup(docs, 20, 10, 3, 0.5).select("doc_id")
+
+
+@register("minhash_removed_half", f"""
+{S.minhash_removed_sql(20, 5, 5, 0.5)}""")
+def q_minhash_removed_half(spark, sf):
+    from quarry.operators.dedup import minhash_removed
+    docs = tables.documents(spark, sf).select("doc_id", "text")
+    return minhash_removed(docs, 20, 5, 5, 0.5)

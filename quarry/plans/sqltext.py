@@ -67,3 +67,43 @@ def mask_chain(text: str = "text") -> tuple[str, str, str, str]:
             f"len(regexp_extract_all({text}, {e_pat}))::BIGINT",
             f"len(regexp_extract_all({t1}, {p_pat}))::BIGINT",
             f"len(regexp_extract_all({t2}, {i_pat}))::BIGINT")
+
+
+# NFD of the accented letters present in the shared tables, after lower():
+# (letter, base, combining mark code point).  Oracle-side only; Spark runs a
+# real Unicode NFD.
+NFD_PAIRS = [("ä", "a", 776), ("ç", "c", 807), ("è", "e", 768), ("é", "e", 769),
+             ("ê", "e", 770), ("í", "i", 769), ("ñ", "n", 771), ("ó", "o", 769),
+             ("ö", "o", 776), ("ü", "u", 776)]
+
+
+def normalize(expr: str) -> str:
+    t = f"lower({expr})"
+    for ch, base, mark in NFD_PAIRS:
+        t = f"replace({t}, '{ch}', '{base}' || chr({mark}))"
+    t = f"regexp_replace({t}, '\\p{{P}}+', '', 'g')"
+    t = f"regexp_replace({t}, {lit('[' + pt.UNI_WS + ']+')}, ' ', 'g')"
+    return py_strip(t)
+
+
+def minhash_removed_sql(num_hashes: int, num_bands: int, n: int, t: float) -> str:
+    """Reference MinHash-LSH semantics written naively (all bucket pairs)."""
+    r = num_hashes // num_bands
+    return f"""
+    WITH w AS (SELECT doc_id, {split_ws(normalize('text'))} AS w FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) >= {n}
+            THEN list_distinct(list_transform(range(1, len(w) - {n} + 2),
+                 lambda i: array_to_string(w[i:i + {n - 1}], ' ')))
+            ELSE []::VARCHAR[] END AS sh FROM w),
+    sig AS (SELECT doc_id, list_transform(range(0, {num_hashes}),
+              lambda h: coalesce(list_min(list_transform(sh, lambda g: md5(h::VARCHAR || g))), 'inf')) AS sig
+            FROM s),
+    b AS (SELECT doc_id, bi, array_to_string(sig[bi * {r} + 1 : bi * {r} + {r}], ',') AS bk
+          FROM sig, range(0, {num_bands}) rr(bi)),
+    pairs AS (SELECT DISTINCT x.doc_id AS i, y.doc_id AS j FROM b x JOIN b y
+              ON x.bi = y.bi AND x.bk = y.bk AND x.doc_id < y.doc_id),
+    ver AS (SELECT DISTINCT p.j FROM pairs p JOIN s a ON a.doc_id = p.i JOIN s c ON c.doc_id = p.j
+            WHERE (CASE WHEN len(a.sh) = 0 AND len(c.sh) = 0 THEN 1.0
+                        WHEN len(a.sh) = 0 OR len(c.sh) = 0 THEN 0.0
+                        ELSE len(list_intersect(a.sh, c.sh)) / len(list_distinct(a.sh || c.sh)) END) >= {t})
+    SELECT j AS doc_id FROM ver"""

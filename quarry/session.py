@@ -22,6 +22,7 @@ def get_spark(master: str | None = None, app: str = "quarry",
         builder = builder.master(master or f"local[{cpus}]")
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
