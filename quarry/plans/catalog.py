@@ -191,3 +191,138 @@ def q_minhash_removed_half(spark, sf):
     from quarry.operators.dedup import minhash_removed
     docs = tables.documents(spark, sf).select("doc_id", "text")
     return minhash_removed(docs, 20, 5, 5, 0.5)
+
+
+# ---------------------------------------------------------------------------
+# Pre-tokens, pair counts, BPE training
+# ---------------------------------------------------------------------------
+
+_PRETOKENS_SQL = f"""
+  SELECT unnest({S.pretoken_words('p')}) AS word
+  FROM (SELECT unnest(string_split_regex(text, {S.lit(S.SPECIALS_SPLIT)})) AS p FROM documents)"""
+
+
+@register("pretoken_counts", f"""
+SELECT word, count(*)::BIGINT AS cnt FROM ({_PRETOKENS_SQL}) GROUP BY word""")
+def q_pretoken_counts(spark, sf):
+    from quarry.operators.tokenizer import pretoken_counts
+    return pretoken_counts(tables.documents(spark, sf).select("text"))
+
+
+@register("pair_counts", f"""
+WITH w AS (SELECT word, count(*) AS cnt FROM ({_PRETOKENS_SQL}) GROUP BY word),
+s AS (SELECT cnt, {S.utf8_bytes('word')} AS seq FROM w)
+SELECT l, r, sum(cnt)::BIGINT AS cnt FROM (
+  SELECT cnt, unnest(seq[1:len(seq) - 1]) AS l, unnest(seq[2:len(seq)]) AS r FROM s WHERE len(seq) >= 2)
+GROUP BY l, r""")
+def q_pair_counts(spark, sf):
+    from quarry.operators.tokenizer import pair_counts, pretoken_counts, utf8_bytes
+    wc = pretoken_counts(tables.documents(spark, sf).select("text"))
+    words = wc.select(utf8_bytes("word").alias("seq"), "cnt")
+    return pair_counts(words).select(F.col("l").cast("int").alias("l"), F.col("r").cast("int").alias("r"),
+                                     F.col("cnt").cast("bigint").alias("cnt"))
+
+
+@register("bpe_merges")
+def q_bpe_merges(spark, sf):
+    """64 merges trained on the documents (iterative: rows-only check)."""
+    from quarry.operators.tokenizer import merges_table, pretoken_counts, train_bpe
+    wc = pretoken_counts(tables.documents(spark, sf).select("text"))
+    model = train_bpe(wc, 256 + 3 + 64)
+    return merges_table(spark, model)
+
+
+# ---------------------------------------------------------------------------
+# Encode, decode, totals, windows, shards (byte-level model,
+# so the oracle can state the ids: UTF-8 bytes of the text)
+# ---------------------------------------------------------------------------
+
+def _byte_tokens(spark, sf, sentinel=False):
+    from quarry.operators.tokenizer import BpeModel, base_vocab, encode
+    from quarry.functions import patterns as pt
+    docs = tables.documents(spark, sf).select("doc_id", "text", "source")
+    if sentinel:
+        docs = docs.withColumn("text", F.concat("text", F.lit("\n" + pt.ENDOFTEXT + "\n")))
+    model = BpeModel(vocab=base_vocab(pt.SPECIAL_TOKENS), merges=[], specials=list(pt.SPECIAL_TOKENS))
+    return docs, model, encode(docs, model)
+
+
+_UNIX_TEXT = "replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+_BYTES_SQL = f"(SELECT doc_id, source, {S.utf8_bytes(_UNIX_TEXT)} AS ids FROM documents)"
+_STREAM_SQL = f"""(SELECT doc_id, ids || [10, 256, 10] AS ids FROM {_BYTES_SQL})"""
+_FLAT_SQL = f"""(SELECT row_number() OVER (ORDER BY doc_id, i) - 1 AS pos, id FROM (
+    SELECT doc_id, unnest(range(len(ids))) AS i, unnest(ids) AS id FROM {_STREAM_SQL}))"""
+
+
+@register("bpe_encode_bytes", f"SELECT doc_id, ids FROM {_BYTES_SQL}")
+def q_bpe_encode_bytes(spark, sf):
+    _, _, tok = _byte_tokens(spark, sf)
+    return tok.select("doc_id", "ids")
+
+
+@register("bpe_roundtrip", """
+SELECT doc_id, replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS text FROM documents""")
+def q_bpe_roundtrip(spark, sf):
+    from quarry.operators.tokenizer import decode
+    _, model, tok = _byte_tokens(spark, sf)
+    return decode(tok, model).select("doc_id", "text")
+
+
+@register("token_totals", f"""
+SELECT source, sum(len(ids))::BIGINT AS n_tokens, count(*)::BIGINT AS n_docs
+FROM {_BYTES_SQL} GROUP BY ROLLUP (source)""")
+def q_token_totals(spark, sf):
+    docs, _, tok = _byte_tokens(spark, sf)
+    t = tok.join(docs.select("doc_id", "source"), "doc_id")
+    return (t.rollup("source").agg(F.sum(F.size("ids")).cast("bigint").alias("n_tokens"),
+                                   F.count(F.lit(1)).cast("bigint").alias("n_docs")))
+
+
+@register("token_windows", f"""
+WITH f AS {_FLAT_SQL}, n AS (SELECT count(*) AS n FROM f)
+SELECT w AS window_id, w * 128 AS start,
+       list(id ORDER BY pos) FILTER (WHERE pos < w * 128 + 128) AS x,
+       list(id ORDER BY pos) FILTER (WHERE pos > w * 128) AS y
+FROM (SELECT f.pos, f.id, unnest(CASE WHEN f.pos % 128 = 0 AND f.pos > 0
+                                      THEN [f.pos // 128, f.pos // 128 - 1] ELSE [f.pos // 128] END) AS w
+      FROM f), n
+WHERE w < (n.n - 1) // 128
+GROUP BY w""")
+def q_token_windows(spark, sf):
+    from quarry.operators.windows import flat_tokens, pack_windows
+    _, _, tok = _byte_tokens(spark, sf, sentinel=True)
+    flat = flat_tokens(tok).persist()
+    n = flat.count()
+    return pack_windows(flat, 128, n)
+
+
+@register("random_windows", f"""
+WITH f AS {_FLAT_SQL}, n AS (SELECT count(*) AS n FROM f),
+s AS (SELECT k, ('0x' || substr(md5('7:' || k::VARCHAR), 1, 15))::BIGINT % (n.n - 128) AS start
+      FROM range(0, 64) r(k), n)
+SELECT s.k, s.start, list(f.id ORDER BY f.pos) FILTER (WHERE f.pos < s.start + 128) AS x,
+       list(f.id ORDER BY f.pos) FILTER (WHERE f.pos > s.start) AS y
+FROM s JOIN f ON f.pos BETWEEN s.start AND s.start + 128
+GROUP BY s.k, s.start""")
+def q_random_windows(spark, sf):
+    from quarry.operators.windows import flat_tokens, random_windows
+    _, _, tok = _byte_tokens(spark, sf, sentinel=True)
+    flat = flat_tokens(tok).persist()
+    n = flat.count()
+    return random_windows(flat, n, 64, 128, seed=7)
+
+
+@register("rank_shards", f"""
+WITH f AS {_FLAT_SQL}, n AS (SELECT count(*) AS n FROM f)
+SELECT least(pos // (n.n // 8), 7)::INTEGER AS rank, count(*)::BIGINT AS n_tokens,
+       min(pos)::BIGINT AS first_pos, max(pos)::BIGINT AS last_pos
+FROM f, n GROUP BY 1""")
+def q_rank_shards(spark, sf):
+    from quarry.operators.windows import flat_tokens, rank_shards
+    _, _, tok = _byte_tokens(spark, sf, sentinel=True)
+    flat = flat_tokens(tok).persist()
+    n = flat.count()
+    r = rank_shards(flat, n, 8)
+    return r.groupBy("rank").agg(F.count(F.lit(1)).cast("bigint").alias("n_tokens"),
+                                 F.min("pos").cast("bigint").alias("first_pos"),
+                                 F.max("pos").cast("bigint").alias("last_pos"))

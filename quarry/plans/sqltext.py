@@ -107,3 +107,21 @@ def minhash_removed_sql(num_hashes: int, num_bands: int, n: int, t: float) -> st
                         WHEN len(a.sh) = 0 OR len(c.sh) = 0 THEN 0.0
                         ELSE len(list_intersect(a.sh, c.sh)) / len(list_distinct(a.sh || c.sh)) END) >= {t})
     SELECT j AS doc_id FROM ver"""
+
+
+def utf8_bytes(expr: str) -> str:
+    return (f"list_transform(regexp_extract_all(hex(encode({expr})), '..'), "
+            f"lambda x: ('0x' || x)::INTEGER)")
+
+
+def pretoken_words(expr: str) -> str:
+    """GPT-2 pre-tokens without look-ahead (marker before the last blank)."""
+    ws = pt.UNI_WS
+    pat = ("'(?:[sdmt]|ll|ve|re)| ?\\p{L}+| ?\\p{N}+| ?[^" + ws + "\\p{L}\\p{N}]+|[" + ws + "]+")
+    marked = (f"regexp_replace({expr}, {lit('([' + ws + '])([' + ws + '][^' + ws + '])')}, "
+              f"'\\1' || chr(1) || '\\2', 'g')")
+    return (f"flatten(list_transform(string_split({marked}, chr(1)), "
+            f"lambda piece: regexp_extract_all(piece, {lit(pat)})))")
+
+
+SPECIALS_SPLIT = r"<\|endoftext\|>|<\|assistant\|>|<\|user\|>"
