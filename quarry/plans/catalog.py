@@ -326,3 +326,5 @@ def q_rank_shards(spark, sf):
     return r.groupBy("rank").agg(F.count(F.lit(1)).cast("bigint").alias("n_tokens"),
                                  F.min("pos").cast("bigint").alias("first_pos"),
                                  F.max("pos").cast("bigint").alias("last_pos"))
+
+from quarry.plans import catalog_text  # noqa: E402,F401  (registers more queries)

@@ -125,3 +125,75 @@ def pretoken_words(expr: str) -> str:
 
 
 SPECIALS_SPLIT = r"<\|endoftext\|>|<\|assistant\|>|<\|user\|>"
+
+
+def chain(expr: str, steps) -> str:
+    """Apply (pattern, replacement) regexp_replace steps (Java $1 -> RE2 \\1)."""
+    t = expr
+    for pat, rep in steps:
+        pat = pat.replace("(?md)", "(?m)").replace("(?iu)", "(?i)").replace("(?is)", "(?is)")
+        rep = rep.replace("$1", "\\1").replace("$2", "\\2")
+        t = f"regexp_replace({t}, {lit(pat)}, {lit(rep)}, 'g')"
+    return t
+
+
+WIKITEXT_STEPS = [
+    (r"(?s)<ref[^>]*>.*?</ref>", ""), (r"<ref[^/]*?/>", ""), (r"\{\{[^}]+\}\}", ""),
+    (r"\[\[Category:[^\]]+\]\]", ""), (r"\[\[[^|\]]+\|([^\]]+)\]\]", "$1"),
+    (r"\[\[([^\]]+)\]\]", "$1"), (r"\[https?://[^\]]+\]", ""), (r"<[^>]+>", ""),
+    (r"'{2,}", ""), (r"={2,}([^=]+)={2,}", "$1"), ("\\n{3,}", "\n\n"), (r" +", " "),
+]
+
+
+def clean_wikitext(expr: str) -> str:
+    return py_strip(chain(expr, WIKITEXT_STEPS))
+
+
+def clean_article(expr: str) -> str:
+    ws = pt.PY_WS
+    markers = "|".join(pt.TAIL_MARKERS)
+    steps = [(f"(?s)({markers}).*", ""),
+             (rf"(?m)^[A-Z][a-z]+\.[{ws}]*$", ""),
+             (rf"(?m)^\p{{Nd}}+\)[{ws}]*", ""),
+             (r"\([^)]*[\x{4e00}-\x{9fff}][^)]*\)", ""),
+             (r"\([^)]*[\x{0400}-\x{04FF}][^)]*\)", ""),
+             (r"(?i)\(pinyin:[^)]+\)", ""),
+             ("\\n{3,}", "\n\n"), (r"  +", " ")]
+    return py_strip(chain(expr, steps))
+
+
+def article_ok(expr: str) -> str:
+    lines = f"string_split({py_strip(expr)}, chr(10))"
+    n_words = f"len({split_ws(expr)})"
+    n_bullet = f"len(list_filter({lines}, lambda l: regexp_matches(l, {lit(pt.BULLET_LINE)})))"
+    n_ascii = f"length(regexp_replace({expr}, '[^\\x00-\\x7F]', '', 'g'))"
+    return (f"({n_words} >= {pt.ARTICLE_MIN_WORDS} AND NOT ({n_bullet} / greatest(len({lines}), 1) > "
+            f"{pt.ARTICLE_MAX_BULLET_FRAC}) AND NOT ({n_ascii} / greatest(length({expr}), 1) < "
+            f"{pt.ARTICLE_MIN_ASCII_FRAC}))")
+
+
+def html_text(expr: str) -> str:
+    from quarry.functions.html import ENTITIES, HTML_STEPS, SPACE_STEPS
+    t = chain(expr, HTML_STEPS)
+    for ent, ch in ENTITIES:
+        t = f"replace({t}, {lit(ent)}, {lit(ch)})"
+    return chain(t, SPACE_STEPS)
+
+
+def clean_generated(expr: str) -> str:
+    t = expr
+    for tok in pt.SPECIAL_TOKENS:
+        t = f"replace({t}, {lit(tok)}, '')"
+    t = f"replace(replace({t}, chr(8217), ''''), chr(8216), '''')"
+    w = pt.REGEX_WORD_CLASS
+    uw = pt.UNI_WS
+    t = chain(t, [(f"({w}) ' ({w})", "$1'$2"), (f"({w}) '({w})", "$1'$2"), (f"({w})' ({w})", "$1'$2"),
+                  (f"[{uw}]+([.,!?;:])", "$1"), (f"[{uw}]+", " ")])
+    t = py_strip(t)
+    t = f"(upper(substr({t}, 1, 1)) || substr({t}, 2))"
+    marked = f"regexp_replace({t}, {lit('([.!?][' + uw + ']+)([a-z])')}, '\\1' || chr(0) || '\\2', 'g')"
+    pieces = f"string_split({marked}, chr(0))"
+    t = (f"array_to_string(list_transform({pieces}, lambda p, i: CASE WHEN i = 1 THEN p "
+         f"ELSE upper(substr(p, 1, 1)) || substr(p, 2) END), '')")
+    return (f"(CASE WHEN length({t}) > 0 AND right({t}, 1) NOT IN ('.', '!', '?') "
+            f"THEN {t} || '.' ELSE {t} END)")
