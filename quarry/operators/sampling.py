@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quarry.functions import text as T
 from quarry.session import reliable_checkpoint
@@ -41,7 +42,7 @@ def global_rank(df: DataFrame, order_col: str, partitions: int | None = None) ->
     for pid in sorted(sizes):
         base[pid] = run
         run += sizes[pid]
-    schema = ranged.schema.add("_rank", "long")
+    schema = StructType(list(ranged.schema.fields) + [StructField("_rank", LongType())])
 
     def ranks(it):
         for pdf in it:
