@@ -294,3 +294,68 @@ def q_doc_snippets(spark, sf):
     d = tables.documents(spark, sf).select("doc_id", "text").filter(F.length("text") >= 500)
     off = F.pmod(md5_uniform(5, F.col("doc_id")), (F.length("text") - 499).cast("bigint"))
     return d.select("doc_id", F.substring("text", (off + 1).cast("int"), 500).alias("snippet"))
+
+
+# ---------------------------------------------------------------------------
+# M1-M7 classifiers
+# ---------------------------------------------------------------------------
+
+def _nb_sql(label_col: str) -> str:
+    sw = S.split_ws("text")
+    return f"""
+WITH d AS (SELECT l.doc_id, l.{label_col} AS label, d.text FROM labels l JOIN documents d USING (doc_id)),
+wc AS (SELECT word, label, count(*) AS c FROM (SELECT label, unnest({sw}) AS word FROM d) GROUP BY 1, 2),
+tot AS (SELECT label, sum(c) AS tot FROM wc GROUP BY 1),
+v AS (SELECT count(DISTINCT word) AS v FROM wc),
+labs AS (SELECT DISTINCT label FROM d),
+logp AS (SELECT g.word, g.label, ln((coalesce(wc.c, 0) + 1) / (tot.tot + v.v)) AS logp
+         FROM (SELECT w.word, labs.label FROM (SELECT DISTINCT word FROM wc) w CROSS JOIN labs) g
+         LEFT JOIN wc ON wc.word = g.word AND wc.label = g.label JOIN tot ON tot.label = g.label CROSS JOIN v),
+prior AS (SELECT label, ln(count(*) / (SELECT count(*) FROM d)) AS lp FROM d GROUP BY 1),
+dw AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest({sw}) AS word FROM d) GROUP BY 1, 2),
+s AS (SELECT doc_id, label, sum(n * logp) AS ll FROM dw JOIN logp USING (word) GROUP BY 1, 2),
+sc AS (SELECT d.doc_id, labs.label, coalesce(s.ll, 0) + prior.lp AS score
+       FROM d CROSS JOIN labs LEFT JOIN s ON s.doc_id = d.doc_id AND s.label = labs.label
+       JOIN prior ON prior.label = labs.label)
+SELECT doc_id, first(label ORDER BY score DESC, label) AS pred FROM sc GROUP BY doc_id"""
+
+
+def _nb_query(spark, sf, label_col):
+    from quarry.operators.classify import nb_predict, nb_train
+    lab = tables.labels(spark, sf).select("doc_id", F.col(label_col).alias("label"))
+    d = lab.join(tables.documents(spark, sf).select("doc_id", "text"), "doc_id")
+    model = nb_train(d, label="label")
+    return nb_predict(d, model).select("doc_id", "pred")
+
+
+@register("nb_quality", _nb_sql("quality"))
+def q_nb_quality(spark, sf):
+    """M5/M6 closed-form twin: quality labels."""
+    return _nb_query(spark, sf, "quality")
+
+
+@register("nb_toxicity", _nb_sql("toxic"))
+def q_nb_toxicity(spark, sf):
+    """M2/M3: toxicity labels, same operator."""
+    return _nb_query(spark, sf, "toxic")
+
+
+@register("lr_quality_metrics")
+def q_lr_quality_metrics(spark, sf):
+    """M4 -> M5 -> M6 -> A12 with MLlib (rows-only: no SQL twin)."""
+    from quarry.operators.classify import evaluate, predict_labels, quality_pipeline
+    lab = tables.labels(spark, sf).select(
+        "doc_id", F.when(F.col("quality") == 1, "high_quality").otherwise("low_quality").alias("label"))
+    d = lab.join(tables.documents(spark, sf).select("doc_id", "text"), "doc_id")
+    model = quality_pipeline().fit(d)
+    return evaluate(predict_labels(model, d), "label")
+
+
+@register("lang_id")
+def q_lang_id(spark, sf):
+    """M1 language identification (label, score) with MLlib NB on char trigrams."""
+    from quarry.operators.classify import language_pipeline, predict_labels
+    d = tables.documents(spark, sf).select("doc_id", "text", "lang")
+    model = language_pipeline().fit(d)
+    p = predict_labels(model, d)
+    return p.select("doc_id", "lang", F.col("pred.label").alias("pred"), F.col("pred.score").alias("score"))
