@@ -77,3 +77,11 @@ GPT2_PAT = ("'(?:[sdmt]|ll|ve|re)| ?\\p{L}+| ?\\p{N}+| ?[^" + UNI_WS
 # The ``regex`` module's ``\w`` (Alphabetic, marks, decimal digits, connector
 # punctuation, joiners).
 REGEX_WORD_CLASS = r"[\p{L}\p{Nl}\p{M}\p{Nd}\p{Pc}\x{200C}\x{200D}]"
+
+# Counting forms used by the Gopher metrics (one regex pass each, no arrays).
+WORD_CHARS_NEG = r"[^\p{L}\p{N}_'-]"                      # chars outside every word
+LETTER_WORD = r"[\p{N}_'-]*\p{L}[\p{L}\p{N}_'-]*"          # a word holding a letter
+LINE_END = r"(?:\r\n|[\n\x0B\x0C\r\x1C\x1D\x1E\x{85}\x{2028}\x{2029}])"
+# Python whitespace that is not a splitlines() boundary.
+INLINE_WS = r"\t\x20\x1F\x{A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}"
+ELLIPSIS_LINE_END = r"\.\.\.[" + INLINE_WS + r"]*(?:" + LINE_END + r"|\z)"

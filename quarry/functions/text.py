@@ -67,16 +67,20 @@ def words(col) -> Column:
 def gopher_metrics(col) -> Column:
     """F5 metrics as a struct of exact integer counts plus pass flag/reason.
 
-    Fields: n_words, n_chars_in_words, n_lines, n_ellipsis_lines,
-    n_alpha_words, passed, reason.
+    Fields: n_words, n_word_chars, n_lines, n_ellipsis_lines, n_alpha_words,
+    passed, reason.  Every count is one codegen'd regex pass over the text
+    (no word or line arrays): word chars all belong to some word, a word
+    holding a letter is one match of LETTER_WORD, and a line whose stripped
+    form ends in '...' is one match of ELLIPSIS_LINE_END.
     """
-    w = words(col)
-    lines = splitlines(col)
-    n_words = F.size(w)
-    n_word_chars = F.length(F.array_join(w, ""))
-    n_lines = F.size(lines)
-    n_ell = F.size(F.filter(lines, lambda l: l.rlike(pt.ELLIPSIS_LINE)))
-    n_alpha = F.size(F.filter(w, lambda x: x.rlike(r"\p{L}")))
+    t = _c(col)
+    n_words = F.regexp_count(t, F.lit(pt.WORD_PATTERN))
+    n_word_chars = F.length(F.regexp_replace(t, pt.WORD_CHARS_NEG, ""))
+    n_breaks = F.regexp_count(t, F.lit(pt.LINE_END))
+    ends_open = (F.length(t) > 0) & ~t.rlike(pt.LINE_END + r"\z")
+    n_lines = n_breaks + F.when(ends_open, 1).otherwise(0)
+    n_ell = F.regexp_count(t, F.lit(pt.ELLIPSIS_LINE_END))
+    n_alpha = F.regexp_count(t, F.lit(pt.LETTER_WORD))
     mean_len = F.try_divide(n_word_chars.cast("double"), F.greatest(n_words, F.lit(1)))
     ell_frac = F.try_divide(n_ell.cast("double"), n_lines)
     alpha_frac = F.try_divide(n_alpha.cast("double"), F.greatest(n_words, F.lit(1)))
