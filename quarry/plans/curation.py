@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
@@ -13,36 +13,30 @@ def curation_summary(docs: DataFrame) -> DataFrame:
     """Flagship: F5 quality -> P10 masks -> drop exact copies -> per-language report.
 
     Exact copies are keyed by md5 of the masked text; the lowest ``doc_id``
-    of each passing copy group is kept.  One regex pass over the corpus feeds
-    a two-level aggregation: (hash, lang) first - partial aggregation folds a
-    hot hash on the map side - then per hash and per language on the small
-    intermediate.  Both branches read the same shuffle (ReusedExchange).
+    of each passing copy group is kept.  One scan and one regex pass feed a
+    hash aggregation on (hash, lang) - partial aggregation folds a hot hash
+    map-side, and every buffer is a fixed-width long (min / min_by), so no
+    sort-based aggregation.  The copy group's winner is then picked by a
+    window over the hash on that aggregate, whose groups hold at most one
+    row per language, and a last aggregation reports per language.
     """
     g = T.gopher_metrics("text")
     d = docs.select("doc_id", "lang", "text",
                     g["n_words"].alias("n_words"), g["passed"].alias("passed"))
     d = pii.mask_pii(d).withColumn("h", F.md5("text")).drop("text")
-    payload = F.struct("doc_id", "n_words", "n_email", "n_phone", "n_ip")
+    pid = F.when(F.col("passed"), F.col("doc_id"))
     l1 = d.groupBy("h", "lang").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.count_if("passed").alias("n_passed"),
-        F.min(F.when(F.col("passed"), payload)).alias("first"))
-    counts = l1.groupBy("lang").agg(F.sum("n_docs").alias("n_docs"),
-                                    F.sum("n_passed").alias("n_passed"))
-    kept = (l1.filter(F.col("first").isNotNull())
-              .groupBy("h")
-              .agg(F.min(F.struct(F.col("first.doc_id").alias("doc_id"), "lang", "first")).alias("k"))
-              .select(F.col("k.lang").alias("lang"), F.col("k.first").alias("f"))
-              .groupBy("lang")
-              .agg(F.count(F.lit(1)).alias("n_kept"),
-                   F.sum("f.n_words").alias("n_words_kept"),
-                   F.sum("f.n_email").alias("n_email"),
-                   F.sum("f.n_phone").alias("n_phone"),
-                   F.sum("f.n_ip").alias("n_ip")))
-    out = counts.join(kept, "lang", "left")
-    return out.select(
-        "lang",
-        F.col("n_docs").cast("bigint").alias("n_docs"),
-        F.col("n_passed").cast("bigint").alias("n_passed"),
-        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-          for c in ("n_kept", "n_words_kept", "n_email", "n_phone", "n_ip")])
+        F.min(pid).alias("first_id"),
+        *[F.min_by(F.col(c), pid).alias(c) for c in ("n_words", "n_email", "n_phone", "n_ip")])
+    kept = F.col("first_id").isNotNull() & (F.col("first_id") == F.min("first_id").over(Window.partitionBy("h")))
+    l2 = l1.withColumn("kept", kept)
+    out = l2.groupBy("lang").agg(
+        F.sum("n_docs").cast("bigint").alias("n_docs"),
+        F.sum("n_passed").cast("bigint").alias("n_passed"),
+        F.count_if("kept").cast("bigint").alias("n_kept"),
+        *[F.coalesce(F.sum(F.when(F.col("kept"), F.col(c))), F.lit(0)).cast("bigint").alias(o)
+          for c, o in (("n_words", "n_words_kept"), ("n_email", "n_email"),
+                       ("n_phone", "n_phone"), ("n_ip", "n_ip"))])
+    return out

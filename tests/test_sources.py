@@ -103,8 +103,11 @@ def test_streaming_matches_batch(spark):
     from quarry.streaming.clean_stream import clean_documents, start_clean_stream
     from tests.conftest import SF001
     docs = tables.documents(spark, SF001).select("doc_id", "text")
+    import shutil
+    src = tempfile.mkdtemp(prefix="quarry-stream-src-")
+    shutil.copy(SF001 + "/documents.parquet", src + "/part-0.parquet")   # a folder of arriving files
     out = tempfile.mkdtemp(prefix="quarry-stream-") + "/out"
-    q = start_clean_stream(spark, SF001 + "/documents.parquet", out,
+    q = start_clean_stream(spark, src, out,
                            spark.read.parquet(SF001 + "/documents.parquet").schema,
                            checkpoint=tempfile.mkdtemp(prefix="quarry-sckpt-"))
     q.awaitTermination(300)
