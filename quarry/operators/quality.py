@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.functions.plan import materialized
 
 
 def gopher_metrics(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -14,8 +15,15 @@ def gopher_metrics(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def gopher_filter(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """F6 ``filter_texts``: keep rows whose text passes F5 (order-free)."""
-    return df.filter(T.gopher_passes(text_col))
+    """F6 ``filter_texts``: keep rows whose text passes F5 (order-free).
+
+    The predicate is evaluated in a projection behind a generator barrier:
+    a plain ``filter`` would be pushed below a round-robin repartition into
+    the scan task, serialising the regex work of a single-split input.
+    """
+    cols = df.columns
+    m = materialized(df.withColumn("_pass", T.gopher_passes(text_col)))
+    return m.filter(F.col("_pass")).select(*cols)
 
 
 def gopher_reject_reasons(df: DataFrame, text_col: str = "text") -> DataFrame:

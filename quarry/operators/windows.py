@@ -73,6 +73,32 @@ def pack_windows(flat: DataFrame, seq_len: int, n_total: int) -> DataFrame:
                     F.slice(ids, 1, L).alias("x"), F.slice(ids, 2, L).alias("y"))
 
 
+def doc_windows(tokens: DataFrame, seq_len: int, key: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """W2 with stride ``seq_len`` straight from per-document arrays.
+
+    Each document emits one slice per window it overlaps (about n/L + 1 rows
+    instead of n token rows); a window then concatenates at most a few slices
+    in stream order.  Same output as :func:`pack_windows`.
+    """
+    L = seq_len
+    off = doc_offsets(tokens, key, ids)
+    t = tokens.select(key, ids).join(off, key).filter(F.col("n") > 0)
+    n_total = off.agg(F.sum("n")).first()[0] or 0
+    n_windows = max(0, (n_total - 1) // L)
+    o, n = F.col("offset"), F.col("n")
+    first_w = F.floor(o / L) - F.when((o % L == 0) & (o > 0), 1).otherwise(0)
+    last_w = F.least(F.floor((o + n - 1) / L), F.lit(n_windows - 1))
+    t = t.filter(first_w <= last_w).select(ids, "offset", "n", F.explode(F.sequence(first_w, last_w)).alias("w"))
+    lo = F.greatest(F.col("w") * L, o)
+    hi = F.least(F.col("w") * L + L, o + n - 1)
+    part = F.slice(ids, (lo - o + 1).cast("int"), (hi - lo + 1).cast("int"))
+    g = (t.select("w", F.struct("offset", part.alias("p")).alias("s"))
+          .groupBy("w").agg(F.array_sort(F.collect_list("s")).alias("s")))
+    flat = F.flatten(F.transform("s", lambda x: x["p"]))
+    return g.select(F.col("w").cast("bigint").alias("window_id"), (F.col("w") * L).cast("bigint").alias("start"),
+                    F.slice(flat, 1, L).alias("x"), F.slice(flat, 2, L).alias("y"))
+
+
 def md5_uniform(seed, k) -> "F.Column":
     """Deterministic 60-bit non-negative integer from md5(seed:k) (SQL-checkable)."""
     h = F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string")))

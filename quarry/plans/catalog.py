@@ -289,11 +289,9 @@ FROM (SELECT f.pos, f.id, unnest(CASE WHEN f.pos % 128 = 0 AND f.pos > 0
 WHERE w < (n.n - 1) // 128
 GROUP BY w""")
 def q_token_windows(spark, sf):
-    from quarry.operators.windows import flat_tokens, pack_windows
+    from quarry.operators.windows import doc_windows
     _, _, tok = _byte_tokens(spark, sf, sentinel=True)
-    flat = flat_tokens(tok).persist()
-    n = flat.count()
-    return pack_windows(flat, 128, n)
+    return doc_windows(tok.persist(), 128)
 
 
 @register("random_windows", f"""
@@ -328,3 +326,63 @@ def q_rank_shards(spark, sf):
                                  F.max("pos").cast("bigint").alias("last_pos"))
 
 from quarry.plans import catalog_text  # noqa: E402,F401  (registers more queries)
+
+
+# ---------------------------------------------------------------------------
+# O7 weighted dataset mixing: slot -> dataset by md5-uniform draw against the
+# cumulative weights, then the slot takes its dataset's next window.
+# Datasets: byte-level streams of English (0) and other-language (1) documents.
+# ---------------------------------------------------------------------------
+
+_MIX_L = 64
+_MIX_SLOTS = 48
+_MIX_W = (0.7, 0.3)
+
+
+def _mix_stream_sql(cond):
+    return f"""(SELECT row_number() OVER (ORDER BY doc_id, i) - 1 AS pos, id FROM (
+      SELECT doc_id, unnest(range(len(ids))) AS i, unnest(ids) AS id FROM (
+        SELECT doc_id, {S.utf8_bytes('text')} || [10, 256, 10] AS ids FROM documents WHERE {cond})))"""
+
+
+_U_SQL = "(('0x' || substr(md5('3:' || id::VARCHAR), 1, 15))::BIGINT % 1073741824) / 1073741824.0"
+
+
+@register("mix_datasets", f"""
+WITH s AS (SELECT id AS slot, CASE WHEN {_U_SQL} < {_MIX_W[0] / sum(_MIX_W)} THEN 0 ELSE 1 END AS dataset
+           FROM range(0, {_MIX_SLOTS}) t(id)),
+k AS (SELECT slot, dataset, row_number() OVER (PARTITION BY dataset ORDER BY slot) - 1 AS k FROM s),
+f0 AS {_mix_stream_sql("lang = 'en'")}, f1 AS {_mix_stream_sql("lang <> 'en'")},
+w AS (SELECT 0 AS dataset, pos // {_MIX_L} AS window_id, id, pos FROM f0
+      UNION ALL SELECT 1, pos // {_MIX_L}, id, pos FROM f1),
+x AS (SELECT dataset, window_id, list(id ORDER BY pos) AS x FROM w GROUP BY 1, 2),
+n AS (SELECT dataset, count(*) AS nw FROM x WHERE len(x) = {_MIX_L} GROUP BY 1)
+SELECT k.slot, k.dataset, x.window_id, x.x FROM k JOIN n USING (dataset)
+JOIN x ON x.dataset = k.dataset AND x.window_id = k.k % n.nw""")
+def q_mix_datasets(spark, sf):
+    from quarry.operators.tokenizer import utf8_bytes
+    from quarry.operators.windows import mix_slots
+    from pyspark.sql import Window
+    d = tables.documents(spark, sf).select("doc_id", "lang", "text")
+    ids = F.concat(utf8_bytes("text"), F.array(F.lit(10), F.lit(256), F.lit(10)))
+    parts = []
+    for ds, cond in ((0, F.col("lang") == "en"), (1, F.col("lang") != "en")):
+        tok = d.filter(cond).select("doc_id", ids.alias("ids"))
+        # x = the L tokens of window w (stride L); only full windows are drawn
+        from quarry.operators.windows import flat_tokens
+        flat = flat_tokens(tok)
+        win = (flat.groupBy(F.floor(F.col("pos") / _MIX_L).alias("window_id"))
+                   .agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("s"))
+                   .select("window_id", F.transform("s", lambda e: e["id"]).alias("x"))
+                   .filter(F.size("x") == _MIX_L)
+                   .withColumn("dataset", F.lit(ds)))
+        parts.append(win)
+    windows = parts[0].unionByName(parts[1]).persist()
+    counts = windows.groupBy("dataset").agg(F.count(F.lit(1)).alias("nw"))
+    slots = mix_slots(_MIX_SLOTS, list(_MIX_W), 2, seed=3, spark=spark)
+    # the slot table has _MIX_SLOTS rows (a parameter), so this window is bounded
+    k = slots.withColumn("k", F.row_number().over(Window.partitionBy("dataset").orderBy("slot")) - 1)
+    k = k.join(F.broadcast(counts), "dataset").withColumn("window_id", F.col("k") % F.col("nw"))
+    return (k.join(windows, ["dataset", "window_id"])
+             .select("slot", F.col("dataset").cast("int").alias("dataset"),
+                     F.col("window_id").cast("bigint").alias("window_id"), "x"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.functions.plan import materialized
 from quarry.operators import pii
 from quarry.session import checkpoint_dir
 
@@ -20,7 +21,8 @@ from quarry.session import checkpoint_dir
 def clean_documents(stream: DataFrame, text: str = "text") -> DataFrame:
     """Quality metrics + filter, then PII masking, on a stream of documents."""
     g = T.gopher_metrics(text)
-    s = stream.withColumn("_g", g).filter(F.col("_g.passed")).withColumn("n_words", F.col("_g.n_words")).drop("_g")
+    s = materialized(stream.withColumn("_g", g))
+    s = s.filter(F.col("_g.passed")).withColumn("n_words", F.col("_g.n_words")).drop("_g")
     return pii.mask_pii(s, text)
 
 

@@ -125,7 +125,7 @@ def test_entry_contract(spark):
 
 
 def test_windows_property(spark):
-    from quarry.operators.windows import flat_tokens, pack_windows
+    from quarry.operators.windows import doc_windows, flat_tokens, pack_windows
     toks = spark.createDataFrame([(i, list(range(i * 10, i * 10 + 7))) for i in range(5)],
                                  "doc_id long, ids array<int>")
     flat = flat_tokens(toks)
@@ -136,3 +136,5 @@ def test_windows_property(spark):
     for r in w:
         s = r["start"]
         assert r["x"] == stream[s:s + 4] and r["y"] == stream[s + 1:s + 5]
+    dw = {r["window_id"]: (r["x"], r["y"]) for r in doc_windows(toks, 4).collect()}
+    assert dw == {r["window_id"]: (r["x"], r["y"]) for r in w}
