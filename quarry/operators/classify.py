@@ -85,7 +85,7 @@ def _tokenizer(text: str) -> RegexTokenizer:
                           toLowercase=False)
 
 
-def quality_pipeline(text: str = "text", label: str = "label", num_features: int = 1 << 16,
+def quality_pipeline(text: str = "text", label: str = "label", num_features: int = 1 << 14,
                      max_iter: int = 25) -> Pipeline:
     """M5: words + word bigrams -> hashed counts -> multinomial logistic regression
     (the fastText recipe: supervised, wordNgrams=2, softmax loss)."""
