@@ -30,16 +30,18 @@ def line_frequency(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def unique_line_positions(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, pos) of every line that occurs exactly once in the whole corpus.
 
-    A line that occurs once has exactly one (key, pos); carrying min(struct)
+    A line that occurs once has exactly one (key, pos); carrying its minima
     through the hash aggregation yields it without joining lines back to the
     counts, so a hot line (say a blank line in a third of all rows) is folded
     map-side and never concentrates in one task.
     """
+    # For a count-1 group min(key) and min(pos) come from its only row; both
+    # buffers are fixed-width, so this stays a hash aggregation.
     return (line_hashes(docs, key, text)
             .groupBy("h")
-            .agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(key, "pos")).alias("first"))
+            .agg(F.count(F.lit(1)).alias("c"), F.min(key).alias(key), F.min("pos").alias("pos"))
             .filter(F.col("c") == 1)
-            .select(F.col(f"first.{key}").alias(key), F.col("first.pos").alias("pos")))
+            .select(key, "pos"))
 
 
 def exact_line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
