@@ -42,3 +42,9 @@ def turn_roles(conv: DataFrame, key: str = "conv_id") -> DataFrame:
     t = t.withColumn("expected", F.when(F.col("idx") % 2 == 0, "user").otherwise("assistant"))
     return t.groupBy(key).agg(F.count(F.lit(1)).cast("bigint").alias("n_turns"),
                               F.count_if(F.col("expected") != F.col("role")).cast("bigint").alias("n_mismatch"))
+
+
+def dialog_split_counts(lines: DataFrame, split: str = "split", line: str = "line") -> DataFrame:
+    """A10: formatted dialogs per split (lines with fewer than two utterances drop)."""
+    f = lines.select(split, dialog_from_line(F.col(line)).alias("text")).filter(F.col("text").isNotNull())
+    return f.groupBy(split).agg(F.count(F.lit(1)).cast("bigint").alias("n_dialogs"))

@@ -386,3 +386,11 @@ def q_mix_datasets(spark, sf):
     return (k.join(windows, ["dataset", "window_id"])
              .select("slot", F.col("dataset").cast("int").alias("dataset"),
                      F.col("window_id").cast("bigint").alias("window_id"), "x"))
+
+
+@register("vocab_longest")
+def q_vocab_longest(spark, sf):
+    """O3 on a 64-merge vocabulary trained on the documents (rows-only)."""
+    from quarry.operators.tokenizer import longest_tokens, pretoken_counts, train_bpe
+    wc = pretoken_counts(tables.documents(spark, sf).select("text"))
+    return longest_tokens(spark, train_bpe(wc, 256 + 3 + 64), 10)

@@ -359,3 +359,22 @@ def q_lang_id(spark, sf):
     model = language_pipeline().fit(d)
     p = predict_labels(model, d)
     return p.select("doc_id", "lang", F.col("pred.label").alias("pred"), F.col("pred.score").alias("score"))
+
+
+# Temperature 0.8, ids 0 and 1 banned, then nucleus 0.9 (embedding = logits)
+_ZM = (f"list_transform({_Z}, lambda x, i: CASE WHEN i - 1 IN (0, 1) THEN -1e9 ELSE x / 0.8 END)")
+_MM = f"list_max({_ZM})"
+
+
+@register("top_p_masked", f"""
+WITH p AS (SELECT vec_id, list_transform({_ZM}, lambda x: exp(x - {_MM}) / list_sum(list_transform({_ZM}, lambda y: exp(y - {_MM})))) AS p
+           FROM embeddings),
+e AS (SELECT vec_id, unnest(range(len(p))) AS i, unnest(p) AS pr FROM p),
+c AS (SELECT vec_id, i, pr, sum(pr) OVER (PARTITION BY vec_id ORDER BY pr DESC, i
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs FROM e)
+SELECT vec_id, count(*)::BIGINT AS n_kept, min(i)::INTEGER AS min_id FROM c WHERE cs - pr <= 0.9 GROUP BY vec_id""")
+def q_top_p_masked(spark, sf):
+    from quarry.operators.scoring import masked_logits, softmax, top_p_keep
+    e = tables.embeddings(spark, sf).select("vec_id", masked_logits("embedding", 0.8, banned=[0, 1]).alias("z"))
+    e = e.select("vec_id", softmax("z").alias("p")).select("vec_id", top_p_keep(F.col("p"), 0.9).alias("k"))
+    return e.select("vec_id", F.size("k").cast("bigint").alias("n_kept"), F.array_min("k").cast("int").alias("min_id"))
