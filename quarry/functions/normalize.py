@@ -24,7 +24,7 @@ def _nfd(s: pd.Series) -> pd.Series:
 _NFD_UDF = None
 
 
-def nfd(col) -> Column:
+def _nfd_col(col) -> Column:
     """Unicode NFD (Arrow-batched; built lazily so workers never need a session)."""
     global _NFD_UDF
     if _NFD_UDF is None:
@@ -32,8 +32,11 @@ def nfd(col) -> Column:
     return _NFD_UDF(col)
 
 
-def normalize_text(col) -> Column:
-    t = nfd(F.lower(_c(col)))
+def normalize_text(col, unicode_nfd: bool = True) -> Column:
+    """P14; ``unicode_nfd=False`` skips the NFD step (valid for ASCII-only text)."""
+    t = F.lower(_c(col))
+    if unicode_nfd:
+        t = _nfd_col(t)
     t = F.regexp_replace(t, r"\p{P}+", "")
     t = F.regexp_replace(t, f"[{pt.UNI_WS}]+", " ")
     return py_strip(t)

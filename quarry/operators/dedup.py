@@ -135,7 +135,12 @@ def signatures(docs: DataFrame, num_hashes: int, num_bands: int, ngrams: int,
     _check(num_hashes, num_bands, ngrams)
     # The NFD UDF is evaluated in its own projection: Python UDFs cannot sit
     # inside the higher-order lambdas that build the shingles.
-    norm = docs.select(F.col(key).alias("doc_id"), normalize_text(text).alias("norm"))
+    # ASCII text is already in NFD: only documents holding a non-ASCII
+    # character cross to the Python NFD step; both halves are narrow.
+    src = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_t"))
+    non_ascii = F.col("_t").rlike(r"[^\x00-\x7F]")
+    norm = (src.filter(~non_ascii).select("doc_id", normalize_text("_t", unicode_nfd=False).alias("norm"))
+               .unionByName(src.filter(non_ascii).select("doc_id", normalize_text("_t").alias("norm"))))
     words = norm.select("doc_id", T.split_whitespace(F.col("norm")).alias("w"))
     sh = words.select("doc_id", shingles(F.col("w"), ngrams).alias("sh"))
     ex = sh.select("doc_id", F.explode_outer("sh").alias("g"))
