@@ -180,7 +180,10 @@ def minhash_removed(docs: DataFrame, num_hashes: int = 20, num_bands: int = 5,
        lowest id only (one pair per member and bucket);
     3. residual pass: members not yet removed are checked against the other
        lower members of their buckets.  Near-duplicate clusters resolve in
-       pass 2, so pass 3 sees only LSH false positives.
+       the leader pass, so the residual pass sees LSH false positives only.
+
+    Pairs whose set sizes alone rule out Jaccard >= t are dropped before the
+    shingle sets are joined in.
     """
     if threshold > 1.0:
         return docs.sparkSession.range(0).select(F.col("id").alias("doc_id")).limit(0)
@@ -193,24 +196,31 @@ def minhash_removed(docs: DataFrame, num_hashes: int = 20, num_bands: int = 5,
                  .join(reps.select(F.col("rep").alias("j")), "j", "left_anti"))
     rep_sig = sig.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
 
-    members = rep_sig.select("doc_id", F.posexplode("bands").alias("band", "bkey"))
-    leaders = members.groupBy("band", "bkey").agg(F.min("doc_id").alias("leader"))
+    members = rep_sig.select("doc_id", F.size("sh").alias("sz"), F.posexplode("bands").alias("band", "bkey"))
+    leaders = members.groupBy("band", "bkey").agg(F.min("doc_id").alias("leader"),
+                                                  F.min_by("sz", "doc_id").alias("leader_sz"))
     m = members.join(leaders, ["band", "bkey"])
     if threshold <= 0.0:
         removed = m.filter(F.col("doc_id") > F.col("leader")).select(F.col("doc_id").alias("j"))
         return copies.unionByName(removed).distinct().withColumnRenamed("j", "doc_id")
 
+    def size_ok(a, b):
+        # Jaccard <= min/max of the set sizes: pairs below t by size alone are
+        # dropped before any shingle set is shipped (the epsilon keeps it safe).
+        return F.least(a, b) >= F.lit(threshold) * F.greatest(a, b) - F.lit(1e-9)
+
     sets = rep_sig.select("doc_id", "sh")
-    p1 = (m.filter(F.col("doc_id") > F.col("leader"))
+    p1 = (m.filter((F.col("doc_id") > F.col("leader")) & size_ok(F.col("sz"), F.col("leader_sz")))
            .select(F.col("leader").alias("i"), F.col("doc_id").alias("j")).distinct())
     removed1 = _verified(p1, sets, threshold)
 
     unresolved = (m.filter(F.col("doc_id") > F.col("leader"))
                    .join(removed1.withColumnRenamed("j", "doc_id"), "doc_id", "left_anti"))
-    lower = m.select("band", "bkey", F.col("doc_id").alias("i"), "leader")
-    p2 = (unresolved.select("band", "bkey", F.col("doc_id").alias("j"))
+    lower = m.select("band", "bkey", F.col("doc_id").alias("i"), F.col("sz").alias("sz_i"), "leader")
+    p2 = (unresolved.select("band", "bkey", F.col("doc_id").alias("j"), F.col("sz").alias("sz_j"))
                     .join(lower, ["band", "bkey"])
-                    .filter((F.col("i") < F.col("j")) & (F.col("i") != F.col("leader")))
+                    .filter((F.col("i") < F.col("j")) & (F.col("i") != F.col("leader"))
+                            & size_ok(F.col("sz_i"), F.col("sz_j")))
                     .select("i", "j").distinct())
     removed2 = _verified(p2, sets, threshold)
     return (copies.unionByName(removed1).unionByName(removed2)
