@@ -129,6 +129,60 @@ def random_windows(flat: DataFrame, n_total: int, batch_size: int, seq_len: int,
     return g.select("k", "start", F.slice(ids, 1, L).alias("x"), F.slice(ids, 2, L).alias("y"))
 
 
+def doc_random_windows(tokens: DataFrame, batch_size: int, seq_len: int, seed: int = 0,
+                       key: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """W2 ``get_batch`` from per-document arrays (no per-token rows).
+
+    Each document emits one row per block of ``seq_len`` positions it
+    covers; the ``batch_size`` starts (a bounded parameter, broadcast) pick
+    the blocks they need, and each window concatenates its slices in stream
+    order.  Same output as :func:`random_windows`.
+    """
+    spark = tokens.sparkSession
+    L = seq_len
+    off = doc_offsets(tokens, key, ids)
+    n_total = off.agg(F.sum("n")).first()[0] or 0
+    if n_total - L <= 0:
+        raise ValueError("token stream shorter than a window")
+    starts = spark.range(batch_size).select(
+        F.col("id").alias("k"), F.pmod(md5_uniform(seed, F.col("id")), F.lit(n_total - L)).alias("start"))
+    wants = starts.select("k", "start", F.explode(F.array_distinct(F.array(
+        F.floor(F.col("start") / L), F.floor((F.col("start") + L) / L)))).alias("blk"))
+    t = tokens.select(key, ids).join(off, key).filter(F.col("n") > 0)
+    o, n = F.col("offset"), F.col("n")
+    t = t.select(ids, "offset", "n", F.explode(F.sequence(F.floor(o / L), F.floor((o + n - 1) / L))).alias("blk"))
+    j = t.join(F.broadcast(wants), "blk")
+    lo = F.greatest(F.col("start"), o, F.col("blk") * L)
+    hi = F.least(F.col("start") + L, o + n - 1, F.col("blk") * L + L - 1)
+    j = j.filter(lo <= hi).select("k", "start", F.struct(lo.alias("lo"), F.slice(
+        ids, (lo - o + 1).cast("int"), (hi - lo + 1).cast("int")).alias("p")).alias("s"))
+    g = j.groupBy("k", "start").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    flat = F.flatten(F.transform("s", lambda x: x["p"]))
+    return g.select("k", "start", F.slice(flat, 1, L).alias("x"), F.slice(flat, 2, L).alias("y"))
+
+
+def shard_summary(tokens: DataFrame, world_size: int, key: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """W3 per rank: token count and first/last stream position, from
+    per-document spans (a document crosses at most a few shard bounds)."""
+    off = doc_offsets(tokens, key, ids).filter(F.col("n") > 0)
+    n_total = off.agg(F.sum("n")).first()[0] or 0
+    per = n_total // world_size
+    if per <= 0:
+        raise ValueError("token stream shorter than the number of ranks")
+    o, n = F.col("offset"), F.col("n")
+    W = world_size
+    r0 = F.least(F.floor(o / per), F.lit(W - 1))
+    r1 = F.least(F.floor((o + n - 1) / per), F.lit(W - 1))
+    t = off.select("offset", "n", F.explode(F.sequence(r0, r1)).alias("rank"))
+    r = F.col("rank")
+    lo = F.greatest(o, r * per)
+    hi = F.least(o + n - 1, F.when(r == W - 1, F.lit(n_total - 1)).otherwise(r * per + per - 1))
+    return (t.select(r.cast("int").alias("rank"), lo.alias("lo"), hi.alias("hi"))
+             .groupBy("rank").agg(F.sum(F.col("hi") - F.col("lo") + 1).cast("bigint").alias("n_tokens"),
+                                  F.min("lo").cast("bigint").alias("first_pos"),
+                                  F.max("hi").cast("bigint").alias("last_pos")))
+
+
 def rank_shards(flat: DataFrame, n_total: int, world_size: int) -> DataFrame:
     """Shard r = [r*floor(n/W), ...), the last shard takes the remainder."""
     per = n_total // world_size

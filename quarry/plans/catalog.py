@@ -303,11 +303,9 @@ SELECT s.k, s.start, list(f.id ORDER BY f.pos) FILTER (WHERE f.pos < s.start + 1
 FROM s JOIN f ON f.pos BETWEEN s.start AND s.start + 128
 GROUP BY s.k, s.start""")
 def q_random_windows(spark, sf):
-    from quarry.operators.windows import flat_tokens, random_windows
+    from quarry.operators.windows import doc_random_windows
     _, _, tok = _byte_tokens(spark, sf, sentinel=True)
-    flat = flat_tokens(tok).persist()
-    n = flat.count()
-    return random_windows(flat, n, 64, 128, seed=7)
+    return doc_random_windows(tok.persist(), 64, 128, seed=7)
 
 
 @register("rank_shards", f"""
@@ -316,14 +314,9 @@ SELECT least(pos // (n.n // 8), 7)::INTEGER AS rank, count(*)::BIGINT AS n_token
        min(pos)::BIGINT AS first_pos, max(pos)::BIGINT AS last_pos
 FROM f, n GROUP BY 1""")
 def q_rank_shards(spark, sf):
-    from quarry.operators.windows import flat_tokens, rank_shards
+    from quarry.operators.windows import shard_summary
     _, _, tok = _byte_tokens(spark, sf, sentinel=True)
-    flat = flat_tokens(tok).persist()
-    n = flat.count()
-    r = rank_shards(flat, n, 8)
-    return r.groupBy("rank").agg(F.count(F.lit(1)).cast("bigint").alias("n_tokens"),
-                                 F.min("pos").cast("bigint").alias("first_pos"),
-                                 F.max("pos").cast("bigint").alias("last_pos"))
+    return shard_summary(tok.persist(), 8)
 
 from quarry.plans import catalog_text  # noqa: E402,F401  (registers more queries)
 

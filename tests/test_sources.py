@@ -138,3 +138,10 @@ def test_windows_property(spark):
         assert r["x"] == stream[s:s + 4] and r["y"] == stream[s + 1:s + 5]
     dw = {r["window_id"]: (r["x"], r["y"]) for r in doc_windows(toks, 4).collect()}
     assert dw == {r["window_id"]: (r["x"], r["y"]) for r in w}
+    from quarry.operators.windows import doc_random_windows, random_windows, rank_shards, shard_summary
+    a = {r["k"]: (r["start"], r["x"], r["y"]) for r in random_windows(flat, n, 6, 4, seed=1).collect()}
+    b = {r["k"]: (r["start"], r["x"], r["y"]) for r in doc_random_windows(toks, 6, 4, seed=1).collect()}
+    assert a == b and all(v[1] == stream[v[0]:v[0] + 4] for v in a.values())
+    per_tok = {r["rank"]: r["c"] for r in rank_shards(flat, n, 3).groupBy("rank")
+               .agg(F.count(F.lit(1)).alias("c")).collect()}
+    assert per_tok == {r["rank"]: r["n_tokens"] for r in shard_summary(toks, 3).collect()}
