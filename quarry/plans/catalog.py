@@ -387,3 +387,19 @@ def q_vocab_longest(spark, sf):
     from quarry.operators.tokenizer import longest_tokens, pretoken_counts, train_bpe
     wc = pretoken_counts(tables.documents(spark, sf).select("text"))
     return longest_tokens(spark, train_bpe(wc, 256 + 3 + 64), 10)
+
+
+@register("bpe_first_merge", f"""
+WITH w AS (SELECT word, count(*) AS cnt FROM ({_PRETOKENS_SQL}) GROUP BY word),
+s AS (SELECT cnt, {S.utf8_bytes('word')} AS seq FROM w),
+p AS (SELECT l, r, sum(cnt) AS cnt FROM (
+  SELECT cnt, unnest(seq[1:len(seq) - 1]) AS l, unnest(seq[2:len(seq)]) AS r FROM s WHERE len(seq) >= 2)
+  GROUP BY l, r)
+SELECT 0 AS rank, l::INTEGER AS left_id, r::INTEGER AS right_id, 259 AS new_id
+FROM p ORDER BY cnt DESC, l, r LIMIT 1""")
+def q_bpe_first_merge(spark, sf):
+    """T3 first step (max count, ties to the smallest pair): SQL-checkable slice of training."""
+    from quarry.operators.tokenizer import merges_table, pretoken_counts, train_bpe
+    wc = pretoken_counts(tables.documents(spark, sf).select("text"))
+    m = merges_table(spark, train_bpe(wc, 256 + 3 + 1))
+    return m.select("rank", "left_id", "right_id", "new_id")
