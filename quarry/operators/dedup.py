@@ -144,13 +144,13 @@ def signatures(docs: DataFrame, num_hashes: int, num_bands: int, ngrams: int,
     words = norm.select("doc_id", T.split_whitespace(F.col("norm")).alias("w"))
     sh = words.select("doc_id", shingles(F.col("w"), ngrams).alias("sh"))
     ex = sh.select("doc_id", F.explode_outer("sh").alias("g"))
-    # 16 raw md5 bytes per hash: binary order equals the 128-bit integer
-    # order and halves the width of the rows the aggregation sorts.
-    hashed = ex.select("doc_id", "g", *[F.unhex(F.md5(F.concat(F.lit(str(i)), F.col("g")))).alias(f"h{i}")
-                                        for i in range(num_hashes)])
-    agg = hashed.groupBy("doc_id").agg(
+    # The md5 values (16 raw bytes: binary order is the 128-bit integer
+    # order) are computed inside the aggregation, so the rows it sorts stay
+    # (doc_id, shingle) instead of carrying num_hashes digests each.
+    agg = ex.groupBy("doc_id").agg(
         F.collect_list("g").alias("sh"),
-        *[F.coalesce(F.hex(F.min(f"h{i}")), F.lit(INF)).alias(f"h{i}") for i in range(num_hashes)])
+        *[F.coalesce(F.hex(F.min(F.unhex(F.md5(F.concat(F.lit(str(i)), F.col("g")))))), F.lit(INF)).alias(f"h{i}")
+          for i in range(num_hashes)])
     sig = F.array(*[F.col(f"h{i}") for i in range(num_hashes)])
     return agg.select("doc_id", "sh",
                       F.unhex(F.md5(F.array_join(F.array_sort("sh"), "\n"))).alias("set_key"),
