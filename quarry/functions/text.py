@@ -240,15 +240,16 @@ def clean_generated(col) -> Column:
     t = F.regexp_replace(t, rf"[{pt.UNI_WS}]+([.,!?;:])", "$1")
     t = F.regexp_replace(t, rf"[{pt.UNI_WS}]+", " ")
     t = py_strip(t)
-    t = F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, 2, 1 << 30))
-    # Capitalise the first lower-case ASCII letter after [.!?] + whitespace:
-    # mark each such boundary, split on the mark, upper-case each piece's head.
-    marked = F.regexp_replace(t, rf"([.!?][{pt.UNI_WS}]+)([a-z])", "$1\u0000$2")
+    # Capitalise the first character and the first lower-case ASCII letter
+    # after [.!?] + whitespace: mark each spot, split on the mark, upper-case
+    # each piece's head.  Every step reads the previous one once, so the
+    # expression tree does not duplicate the substitution chain.
+    marked = F.concat(F.lit("\u0000"), F.regexp_replace(t, rf"([.!?][{pt.UNI_WS}]+)([a-z])", "$1\u0000$2"))
     pieces = F.split(marked, "\u0000", -1)
-    t = F.array_join(F.transform(pieces, lambda p, i: F.when(
-        i == 0, p).otherwise(F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1 << 30)))), "")
-    return F.when((F.length(t) > 0) & ~F.substring(t, -1, 1).isin(".", "!", "?"),
-                  F.concat(t, F.lit("."))).otherwise(t)
+    t = F.array_join(F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)),
+                                                            F.substring(p, 2, 1 << 30))), "")
+    # end with '.' unless empty or already ending in . ! ?
+    return F.regexp_replace(t, r"([^.!?])\z", "$1.")
 
 
 def extract_response(col) -> Column:
