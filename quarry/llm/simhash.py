@@ -70,10 +70,11 @@ def fingerprint_column(text: str, shingle: int) -> Column:
 
 def _grid_point(fp: str) -> Column:
     """Bit counts of the 16 segments, packed in one long (4 bits a segment)."""
-    x = F.col(fp)
-    pairs = x - F.shiftrightunsigned(x, 1).bitwiseAND(F.lit(0x5555555555555555))
-    low = F.lit(0x3333333333333333)
-    return pairs.bitwiseAND(low) + F.shiftrightunsigned(pairs, 2).bitwiseAND(low)
+    ones = F.lit(0x1111111111111111)
+    point = F.col(fp).bitwiseAND(ones)
+    for i in range(1, WIDTH):
+        point = point + F.shiftrightunsigned(F.col(fp), i).bitwiseAND(ones)
+    return point
 
 
 def _cells(point: str) -> Column:
