@@ -22,3 +22,10 @@ def op3(spark, sf_dir):
     """Fingerprint and component of every document (3-word shingles, 2 bits)."""
     from quarry.llm.simhash import simhash_groups
     return simhash_groups(spread(read_table(spark, sf_dir, "documents")), shingle=3, max_bits=2)
+
+
+@register("op10_toxicity")
+def op10(spark, sf_dir):
+    """Toxicity score of every document; labels of fold 0 held out."""
+    from quarry.llm.toxicity import toxicity
+    return toxicity(spread(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "labels"))
