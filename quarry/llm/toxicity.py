@@ -10,7 +10,7 @@
    and worker).
 3. Words of the restored text, doubled letters squeezed, feed a logistic
    regression.  Document frequencies of every word over all labelled rows
-   choose the words (largest G2); the weights are fitted on at most
+   choose the words (largest G2, and no word below ``least_g2``); the weights are fitted on at most
    ``fit_rows`` labelled rows, taken in order of a hash.
 
 Cases: null and empty texts score as the intercept alone; labels null or of
@@ -196,7 +196,8 @@ def _fit(x: np.ndarray, y: np.ndarray, times: np.ndarray, l2: float = 0.02, roun
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, features: int = 200, fit_rows: int = 10_000) -> dict:
+def train(docs: DataFrame, labels: DataFrame, features: int = 200, fit_rows: int = 10_000,
+          least_g2: float = 12.0) -> dict:
     """Model from all documents (characters) and the given labels (words).
 
     ``labels`` has doc_id and toxic; a document with contrary labels counts as toxic.
@@ -234,7 +235,9 @@ def train(docs: DataFrame, labels: DataFrame, features: int = 200, fit_rows: int
     g2 = (part(F.col("a"), n1) + part(F.col("b"), n0)
           + miss_a * F.log((miss_a + 1e-9) / (float(n1) * (none + 1e-9) / float(n1 + n0)))
           + miss_b * F.log((miss_b + 1e-9) / (float(n0) * (none + 1e-9) / float(n1 + n0))))
-    best = [r.word for r in df.withColumn("g2", g2).orderBy(F.desc("g2"), "word").limit(features).collect()]
+    best = [r.word for r in df.withColumn("g2", g2).filter(F.col("g2") >= least_g2).orderBy(F.desc("g2"), "word").limit(features).collect()]
+    if not best:
+        return out
     index = {w: i for i, w in enumerate(best)}
     chosen = F.array(*[F.lit(w) for w in best])
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
