@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quarry.llm import line_dedup
 from quarry.llm.common import read_table, spread
 
 QUERIES: dict = {}
@@ -29,3 +30,18 @@ def op10(spark, sf_dir):
     """Toxicity score of every document; labels of fold 0 held out."""
     from quarry.llm.toxicity import toxicity
     return toxicity(spread(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "labels"))
+
+
+@register("op1_line_dedup", line_dedup.ORACLE_SQL)
+def op1(spark, sf_dir):
+    """All documents with only the earliest of equal and nearly equal lines."""
+    return line_dedup.dedup_lines(spread(read_table(spark, sf_dir, "documents"))).select("doc_id", "text")
+
+
+@register("op6_packing")
+def op6(spark, sf_dir):
+    """Windows of at most 2048 ids over all documents."""
+    import public_tokenizers
+
+    from quarry.llm.packing import pack_documents
+    return pack_documents(spread(read_table(spark, sf_dir, "documents")), public_tokenizers.path("byte_bpe_50k.json"))
