@@ -1,10 +1,12 @@
 """Packing by Karmarkar-Karp multiway differencing into near-equal windows.
 
 Documents become token ids (plus an end id) and are cut every ``capacity``
-ids; a full piece is a window by itself.  The rest of the pieces are dealt by
+ids; a full piece is a window by itself.  What remains of a document is cut
+every ``piece`` ids (windows of several small pieces come out far more even
+than windows of one or two large ones) and these pieces are dealt by
 hash into blocks of bounded size, and each block is split into as many windows
 as its tokens need at least: the two partial partitions with the largest
-imbalance are merged, largest sums onto smallest, until one partition is left.
+imbalance are merged, largest sums against smallest, until one partition is left.
 Whenever its largest window exceeds the capacity the window count rises and
 the block is split anew.
 
@@ -63,8 +65,17 @@ def encoder(path: str) -> _Ids:
     return _LOADED[path]
 
 
+def _cuts(n: int, capacity: int, piece: int):
+    """Starts and lengths of a document's pieces: full windows, then at most ``piece`` ids each."""
+    full = n // capacity * capacity
+    for at in range(0, full, capacity):
+        yield at, capacity
+    for at in range(full, n, piece):
+        yield at, min(piece, n - at)
+
+
 def cut_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
-                  with_ids: bool = True) -> DataFrame:
+                  with_ids: bool = True, piece: int = 512) -> DataFrame:
     """Pieces: doc_id, start, length, doc_tokens, ids_crc32 and, if asked for, ids (little-endian bytes)."""
     end = np.array([end_id], "<u4").tobytes()
 
@@ -74,9 +85,9 @@ def cut_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
             rows = []
             for doc, text in zip(pdf["doc_id"], pdf["text"]):
                 ids = enc.encode(text or "") + end
-                for at in range(0, len(ids), 4 * capacity):
-                    piece = ids[at:at + 4 * capacity]
-                    rows.append((doc, at // 4, len(piece) // 4, len(ids) // 4, zlib.crc32(piece), piece if with_ids else None))
+                for at, size in _cuts(len(ids) // 4, capacity, piece):
+                    part = ids[4 * at:4 * (at + size)]
+                    rows.append((doc, at, size, len(ids) // 4, zlib.crc32(part), part if with_ids else None))
                 if len(rows) >= 4096:
                     yield frame(rows)
                     rows = []
@@ -92,39 +103,48 @@ def cut_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
 
 
 def _difference(sizes: np.ndarray, windows: int) -> tuple[int, list]:
-    """Largest sum and, per window, a tree of item numbers, by multiway differencing."""
-    heap = [(-int(s), i, np.array([s], np.int64), [i]) for i, s in enumerate(sizes)]
+    """Largest sum and the items of each window, by multiway differencing.
+
+    A partial partition is its sums that are not zero, sorted downwards, and a
+    tree number for each; tree t below ``n`` is item t, any other a pair.
+    """
+    n = len(sizes)
+    by_size = np.argsort(-sizes, kind="stable")
+    # unions come first: the largest items, one to a window, always have the largest imbalance
+    top = by_size[:windows]
+    heap = [(-int(sizes[i]), int(i), sizes[i:i + 1], np.array([i])) for i in by_size[windows:]]
+    gap = int(sizes[top[0]]) - (int(sizes[top[-1]]) if len(top) == windows else 0)
+    heap.append((-gap, -1, sizes[top], top))
     heapq.heapify(heap)
-    stamp = len(heap)
+    pairs: list = []
     while len(heap) > 1:
         _, _, a, ta = heapq.heappop(heap)
         _, _, b, tb = heapq.heappop(heap)
         over = len(a) + len(b) - windows
-        if over > 0:  # the smallest sums of a meet the largest of b crosswise
-            low = len(a) - over
-            lift = len(b) - over
-            joined = a[low:] + b[:over][::-1]
-            trees = ta[:low] + [(x, y) for x, y in zip(ta[low:], tb[:over][::-1])] + tb[over:]
-            sums = np.concatenate([a[:low], joined, b[len(b) - lift:]])
+        if over > 0:  # sorted downwards against sorted upwards: the smallest of a meet the smallest left of b
+            low, lift = len(a) - over, len(b) - over
+            fresh = np.arange(n + len(pairs), n + len(pairs) + over)
+            pairs += zip(ta[low:].tolist(), tb[lift:][::-1].tolist())
+            sums = np.concatenate([a[:low], a[low:] + b[lift:][::-1], b[:lift]])
+            trees = np.concatenate([ta[:low], fresh, tb[:lift]])
         else:
-            sums, trees = np.concatenate([a, b]), ta + tb
+            sums, trees = np.concatenate([a, b]), np.concatenate([ta, tb])
         order = np.argsort(-sums, kind="stable")
-        sums, trees = sums[order], [trees[i] for i in order]
+        sums, trees = sums[order], trees[order]
         gap = int(sums[0]) - (int(sums[-1]) if len(sums) == windows else 0)
-        heapq.heappush(heap, (-gap, stamp, sums, trees))
-        stamp += 1
+        heapq.heappush(heap, (-gap, n + len(pairs) + len(heap), sums, trees))
     _, _, sums, trees = heap[0]
-    return int(sums[0]), trees
+    return int(sums[0]), [_leaves(int(t), pairs, n) for t in trees]
 
 
-def _leaves(tree) -> list:
+def _leaves(tree: int, pairs: list, n: int) -> list:
     out, todo = [], [tree]
     while todo:
         t = todo.pop()
-        if isinstance(t, tuple):
-            todo += (t[1], t[0])
-        else:
+        if t < n:
             out.append(t)
+        else:
+            todo += pairs[t - n][::-1]
     return out
 
 
@@ -136,20 +156,20 @@ def split_block(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarra
         raise ValueError("an item is larger than a window")
     windows = -(-int(sizes.sum()) // capacity)
     while True:
-        largest, trees = _difference(sizes, windows)
+        largest, windowed = _difference(sizes, windows)
         if largest <= capacity:
             break
-        windows += max(1, windows // 256)
+        windows += max(1, windows // 128)
     window, offset = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
-    for w, tree in enumerate(trees):
+    for w, items in enumerate(windowed):
         at = 0
-        for i in _leaves(tree):
+        for i in items:
             window[i], offset[i] = w, at
             at += int(sizes[i])
     return window, offset
 
 
-def pack(pieces: DataFrame, capacity: int = 2048, per_block: int = 2048) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 2048, per_block: int = 1024) -> DataFrame:
     """``pieces`` with sequence_id and offset; needs doc_id, start and length, carries every other column.
 
     ``pieces`` is read twice: pass a settled table.
