@@ -21,6 +21,7 @@ as documents of their own; an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import itertools
 import zlib
 
 import numpy as np
@@ -117,6 +118,7 @@ def _difference(sizes: np.ndarray, windows: int) -> tuple[int, list]:
     heap.append((-gap, -1, sizes[top], top))
     heapq.heapify(heap)
     pairs: list = []
+    stamp = itertools.count(n)
     while len(heap) > 1:
         _, _, a, ta = heapq.heappop(heap)
         _, _, b, tb = heapq.heappop(heap)
@@ -132,7 +134,7 @@ def _difference(sizes: np.ndarray, windows: int) -> tuple[int, list]:
         order = np.argsort(-sums, kind="stable")
         sums, trees = sums[order], trees[order]
         gap = int(sums[0]) - (int(sums[-1]) if len(sums) == windows else 0)
-        heapq.heappush(heap, (-gap, n + len(pairs) + len(heap), sums, trees))
+        heapq.heappush(heap, (-gap, next(stamp), sums, trees))
     _, _, sums, trees = heap[0]
     return int(sums[0]), [_leaves(int(t), pairs, n) for t in trees]
 
