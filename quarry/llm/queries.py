@@ -45,3 +45,10 @@ def op6(spark, sf_dir):
 
     from quarry.llm.packing import pack_documents
     return pack_documents(spread(read_table(spark, sf_dir, "documents")), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op7_pii")
+def op7(spark, sf_dir):
+    """Personal data of every document."""
+    from quarry.llm.pii import find_pii
+    return find_pii(spread(read_table(spark, sf_dir, "documents")))
