@@ -39,6 +39,7 @@ _SIGN_COST, _KEEP_COST, _JOIN_COST, _SPLIT_COST = -1.5, -4.0, -0.5, -2.0
 _SPACED = re.compile(r"(?<!\w)\w(?:([ ._*-])\w)(?:\1\w){2,}(?!\w)")
 _RUN = re.compile(r"(.)\1*", re.S)
 _LETTERS = re.compile(r"[^\W\d_]+")
+_SIGN = re.compile("[" + re.escape("".join(LOOKALIKES)) + "]")
 _DOUBLE = re.compile(r"(.)\1+")
 _SLICE = 1 << 20
 _CACHE = 300_000
@@ -50,7 +51,7 @@ def _symbol(ch: str) -> int:
     return ord(base) - 96 if "a" <= base <= "z" else 27 if ch.isalpha() else 0
 
 
-_TABLE = np.array([_symbol(chr(i)) for i in range(0x250)] + [0], np.int64)
+_TABLE = np.array([_symbol(chr(i)) for i in range(0x250)] + [0], np.int32)
 
 
 def _symbols(text: str) -> np.ndarray:
@@ -58,15 +59,30 @@ def _symbols(text: str) -> np.ndarray:
     return _TABLE[np.minimum(codes, 0x250)]
 
 
-def _gram_counts(text: str, into: np.ndarray) -> None:
-    low = text.lower()
-    for at in range(0, len(low), _SLICE):
-        s = np.concatenate([np.zeros(ORDER - 1, np.int64), _symbols(low[at:at + _SLICE]), [0]])
-        s = s[(s != 0) | (np.arange(len(s)) < ORDER - 1) | (np.roll(s, 1) != 0)]
-        g = s[:-3]
-        for k in (1, 2, 3):
-            g = g * SYMBOLS + s[k:len(s) - 3 + k]
-        np.add.at(into, g, 1) if len(g) < 2000 else into.__iadd__(np.bincount(g, minlength=len(into)))
+def _gram_counts(texts: list, into: np.ndarray) -> None:
+    """Adds the 4-gram counts of all texts, joined and read in slices of bounded size."""
+    part, size = [], 0
+    for t in texts:
+        for at in range(0, len(t), _SLICE):
+            part.append(t[at:at + _SLICE])
+            size += len(part[-1])
+            if size >= _SLICE:
+                into += _slice_counts("\n".join(part))
+                part, size = [], 0
+    if part:
+        into += _slice_counts("\n".join(part))
+
+
+def _slice_counts(text: str) -> np.ndarray:
+    s = np.concatenate([np.zeros(ORDER, np.int32), _symbols(text.lower()), np.zeros(1, np.int32)])
+    keep = s != 0
+    keep[1:] |= s[:-1] != 0  # one boundary between words
+    s = s[keep]
+    if not len(s):
+        return np.zeros(SYMBOLS ** ORDER, np.int64)
+    s = np.concatenate([np.zeros(ORDER - 1, np.int32), s])
+    g = ((s[:-3] * SYMBOLS + s[1:-2]) * SYMBOLS + s[2:-1]) * SYMBOLS + s[3:]
+    return np.bincount(g, minlength=SYMBOLS ** ORDER)
 
 
 def character_model(docs: DataFrame) -> np.ndarray:
@@ -75,9 +91,7 @@ def character_model(docs: DataFrame) -> np.ndarray:
     def count(batches):
         total = np.zeros(SYMBOLS ** ORDER, np.int64)
         for pdf in batches:
-            for t in pdf["text"]:
-                if t:
-                    _gram_counts(t, total)
+            _gram_counts([t for t in pdf["text"] if t], total)
         hit = np.flatnonzero(total)
         yield pd.DataFrame({"gram": hit, "n": total[hit]})
 
@@ -173,10 +187,15 @@ class Restorer(dict):
         if not text:
             return set()
         low = text.lower()
-        tokens = set(low.split())
-        for m in _SPACED.finditer(low):
-            tokens.update(decode(m.group(0)[:400], self.model, True).split())
-        return {_DOUBLE.sub(r"\1", w) for t in tokens for w in _LETTERS.findall(self[t])}
+        codes = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), "<u4")
+        single = codes[np.concatenate([[True], codes[1:] != codes[:-1]])].tobytes().decode("utf-32-le", "surrogatepass")
+        words = set(_LETTERS.findall(single))
+        # a repeated letter reads as itself once squeezed; only signs and spacing can change a word
+        odd = [self[t] for t in set(low.split()) if _SIGN.search(t)]
+        odd += [decode(m.group(0)[:400], self.model, True) for m in _SPACED.finditer(low)]
+        for t in odd:
+            words.update(_DOUBLE.sub(r"\1", w) for w in _LETTERS.findall(t))
+        return words
 
 
 def _fit(x: np.ndarray, y: np.ndarray, times: np.ndarray, l2: float = 0.02, rounds: int = 40) -> np.ndarray:
