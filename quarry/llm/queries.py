@@ -52,3 +52,10 @@ def op7(spark, sf_dir):
     """Personal data of every document."""
     from quarry.llm.pii import find_pii
     return find_pii(spread(read_table(spark, sf_dir, "documents")))
+
+
+@register("op5_lang_id")
+def op5(spark, sf_dir):
+    """Language of every document; fold 2 held out."""
+    from quarry.llm.lang_id import identify
+    return identify(spread(read_table(spark, sf_dir, "documents")))
