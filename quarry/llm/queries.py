@@ -59,3 +59,10 @@ def op5(spark, sf_dir):
     """Language of every document; fold 2 held out."""
     from quarry.llm.lang_id import identify
     return identify(spread(read_table(spark, sf_dir, "documents")))
+
+
+@register("op8_secret_scan")
+def op8(spark, sf_dir):
+    """Secrets of every document."""
+    from quarry.llm.secret_scan import scan
+    return scan(spread(read_table(spark, sf_dir, "documents")))
