@@ -66,3 +66,12 @@ def op8(spark, sf_dir):
     """Secrets of every document."""
     from quarry.llm.secret_scan import scan
     return scan(spread(read_table(spark, sf_dir, "documents")))
+
+
+@register("op9_sentencepiece")
+def op9(spark, sf_dir):
+    """Ids of every document and whether they decode to its text."""
+    import public_tokenizers
+
+    from quarry.llm.pieces import round_trip
+    return round_trip(spread(read_table(spark, sf_dir, "documents")), public_tokenizers.path("piece_bpe_32k.model"))
