@@ -75,3 +75,18 @@ def op9(spark, sf_dir):
 
     from quarry.llm.pieces import round_trip
     return round_trip(spread(read_table(spark, sf_dir, "documents")), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op2_nearest_neighbours")
+def op2(spark, sf_dir):
+    """Ten nearest rows of every vector whose id is divisible by 100."""
+    from quarry.llm.ann import nearest
+    vectors = spread(read_table(spark, sf_dir, "embeddings"))
+    return nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
+@register("op4_embedding_dedup")
+def op4(spark, sf_dir):
+    """Links with cosine >= 0.9 and components over all vectors."""
+    from quarry.llm.nn_descent import near_duplicates
+    return near_duplicates(spread(read_table(spark, sf_dir, "embeddings")), least=0.9)
