@@ -154,7 +154,7 @@ def clean_wikitext(col) -> Column:
 
 def clean_article(col) -> Column:
     """P5: cut at the earliest tail marker, drop leftovers, strip."""
-    ws = pt.PY_WS
+    ws = pt.UNI_WS
     markers = "|".join(pt.TAIL_MARKERS)
     t = F.regexp_replace(_c(col), f"(?s)({markers}).*", "")
     t = F.regexp_replace(t, rf"(?md)^[A-Z][a-z]+\.[{ws}]*$", "")

@@ -69,7 +69,8 @@ def nb_predict(df: DataFrame, model: dict, key: str = "doc_id", text: str = "tex
     s = (grid.join(s, [key, label], "left").join(F.broadcast(model["prior"]), label)
              .select(key, label, (F.coalesce(F.col("ll"), F.lit(0.0)) + F.col("logprior")).alias("score")))
     g = s.groupBy(key).agg(
-        F.max_by(F.col(label), F.struct(F.col("score"), -F.col(label).cast("double"))).alias("pred"),
+        F.max_by(F.col(label), F.struct(F.col("score"), -F.array_position(
+            F.array(*[F.lit(x) for x in sorted(model["labels"])]), F.col(label)))).alias("pred"),
         F.max("score").alias("best"),
         F.collect_list("score").alias("all"))
     prob = F.lit(1.0) / F.aggregate("all", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("best")))

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from quarry.functions import text as T
 from quarry.session import reliable_checkpoint
@@ -30,32 +28,30 @@ def shuffle_keys(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
 def global_rank(df: DataFrame, order_col: str, partitions: int | None = None) -> DataFrame:
     """0-based rank by ``order_col`` (unique) via a two-level prefix count.
 
-    Range partitions are counted (one row per partition to the driver) and
-    ranks are running counts inside each partition: no single-task window.
+    Range partitions are counted (one row each) and ranks are running counts
+    inside each partition: no single-task window over the rows.
     """
     spark = df.sparkSession
     p = partitions or max(1, spark.sparkContext.defaultParallelism)
     ranged = reliable_checkpoint(df.repartitionByRange(p, order_col).sortWithinPartitions(order_col)
                                    .withColumn("_pid", F.spark_partition_id()))
-    sizes = {r["_pid"]: r["c"] for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("c")).collect()}
-    base, run = {}, 0
-    for pid in sorted(sizes):
-        base[pid] = run
-        run += sizes[pid]
-    schema = StructType(list(ranged.schema.fields) + [StructField("_rank", LongType())])
-
-    def ranks(it):
-        for pdf in it:
-            pdf = pdf.sort_values(order_col, kind="stable")
-            start = pdf["_pid"].map(base).astype("int64") if len(pdf) else pd.Series(dtype="int64")
-            yield pdf.assign(_rank=start + pd.Series(range(len(pdf)), index=pdf.index, dtype="int64"))
-
-    return ranged.mapInPandas(ranks, schema).drop("_pid")
+    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
+    base = sizes.select("_pid", (F.sum("_c").over(Window.orderBy("_pid")) - F.col("_c")).alias("_base"))
+    inside = Window.partitionBy("_pid").orderBy(order_col)
+    ranked = ranged.withColumn("_row", F.row_number().over(inside)).join(F.broadcast(base), "_pid")
+    return ranked.withColumn("_rank", F.col("_base") + F.col("_row") - 1).drop("_pid", "_row", "_base")
 
 
 def first_n(df: DataFrame, order_col: str, n: int) -> DataFrame:
-    """O2 first n rows in scan order (``order_col``), exact at any n."""
-    return global_rank(df, order_col).filter(F.col("_rank") < n).drop("_rank")
+    """O2 first n rows in scan order (``order_col``, unique), exact at any n.
+
+    Only the keys are ranked; the n-th key then bounds a plain filter on the
+    source, which reaches its scan, so no row is moved for a cap.
+    """
+    if n <= 0:
+        return df.limit(0)
+    bound = global_rank(df.select(order_col), order_col).filter(F.col("_rank") < n).agg(F.max(order_col)).first()[0]
+    return df.limit(0) if bound is None else df.filter(F.col(order_col) <= F.lit(bound))
 
 
 def balance_classes(df: DataFrame, label: str, order_col: str, pos=1, neg=0) -> DataFrame:

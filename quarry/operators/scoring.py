@@ -24,25 +24,27 @@ def masked_logits(logits, temperature: float = 1.0, banned: list[int] | None = N
     return z
 
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row, also inside lambdas."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def log_sum_exp(z: Column) -> Column:
-    m = F.array_max(z)
-    return m + F.log(F.aggregate(z, F.lit(0.0), lambda a, x: a + F.exp(x - m)))
+    return _bind(F.array_max(z), lambda m: m + F.log(F.aggregate(z, F.lit(0.0), lambda a, x: a + F.exp(x - m))))
 
 
 def cross_entropy(logits, target) -> Column:
     """A13 per row: -(z_y - max - ln sum exp(z - max))."""
     z = F.transform(_c(logits), lambda x: x.cast("double"))
-    m = F.array_max(z)
-    lse = F.log(F.aggregate(z, F.lit(0.0), lambda a, x: a + F.exp(x - m)))
-    return -(F.element_at(z, _c(target) + 1) - m - lse)
+    return log_sum_exp(z) - F.element_at(z, _c(target) + 1)
 
 
 def softmax(logits) -> Column:
     """A14 max-shifted softmax of an array."""
     z = F.transform(_c(logits), lambda x: x.cast("double"))
-    m = F.array_max(z)
-    s = F.aggregate(z, F.lit(0.0), lambda a, x: a + F.exp(x - m))
-    return F.transform(z, lambda x: F.exp(x - m) / s)
+    return _bind(z, lambda v: _bind(F.array_max(v), lambda m: _bind(
+        F.aggregate(v, F.lit(0.0), lambda a, x: a + F.exp(x - m)),
+        lambda s: F.transform(v, lambda x: F.exp(x - m) / s))))
 
 
 def top_p_keep(probs, top_p: float) -> Column:

@@ -2,15 +2,13 @@
 
 The token stream is the concatenation of documents in ``doc_id`` order.
 Positions come from a two-level prefix sum (never an unpartitioned window):
-range-partition the per-document counts, total each partition (one row per
-partition reaches the driver), then add the partition base to a running sum
-inside each partition.
+range-partition the per-document counts, total each partition (one row each),
+then add the partition's base to a running sum inside the partition.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.session import reliable_checkpoint
@@ -26,23 +24,12 @@ def doc_offsets(tokens: DataFrame, key: str = "doc_id", ids: str = "ids",
     ranged = reliable_checkpoint(
         counts.repartitionByRange(p, "k").sortWithinPartitions("k")
               .withColumn("pid", F.spark_partition_id()))
-    totals = {r["pid"]: r["t"] for r in ranged.groupBy("pid").agg(F.sum("n").alias("t")).collect()}
-    base, run = {}, 0
-    for pid in sorted(totals):
-        base[pid] = run
-        run += totals[pid]
-
-    def running(it):
-        for pdf in it:
-            if pdf.empty:
-                yield pdf.assign(offset=pd.Series(dtype="int64"))
-                continue
-            pdf = pdf.sort_values("k")
-            b = pdf["pid"].map(base).astype("int64")
-            yield pdf.assign(offset=b + pdf["n"].cumsum() - pdf["n"])
-
-    out = ranged.mapInPandas(running, "k long, n long, pid int, offset long")
-    return out.select(F.col("k").alias(key), "n", "offset")
+    # one row per range partition; the running total over them is small by construction
+    totals = ranged.groupBy("pid").agg(F.sum("n").alias("t"))
+    base = totals.select("pid", (F.sum("t").over(Window.orderBy("pid")) - F.col("t")).alias("base"))
+    inside = Window.partitionBy("pid").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = ranged.withColumn("upto", F.sum("n").over(inside)).join(F.broadcast(base), "pid")
+    return out.select(F.col("k").alias(key), "n", (F.col("base") + F.col("upto") - F.col("n")).alias("offset"))
 
 
 def flat_tokens(tokens: DataFrame, key: str = "doc_id", ids: str = "ids") -> DataFrame:

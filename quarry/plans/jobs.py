@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import patterns as pt
+from quarry.functions import text as T
 from quarry.operators import tokenizer as tok
 from quarry.operators.classify import evaluate, predict_labels, quality_pipeline
 from quarry.operators.sampling import balance_classes, fasttext_lines
@@ -17,14 +18,13 @@ def tokenize_job(spark: SparkSession, docs: DataFrame, out_dir: str, vocab_size:
     """Train (unless the tokenizer files exist: K6), save (K4), reload (S11),
     encode (T5) and write the token table (K5).  Returns the token table."""
     vocab_path, merges_path = f"{out_dir}/vocab", f"{out_dir}/merges"
-    try:
-        model = tok.load_model(spark, vocab_path, merges_path, pt.SPECIAL_TOKENS)
-    except Exception:
+    if not (sinks.finished(spark, vocab_path) and sinks.finished(spark, merges_path)):
         model = tok.train_bpe(tok.pretoken_counts(docs, text), vocab_size, pt.SPECIAL_TOKENS)
         sinks.save_model(spark, model, vocab_path, merges_path)
-        model = tok.load_model(spark, vocab_path, merges_path, pt.SPECIAL_TOKENS)
-    tokens = tok.encode(docs.select(key, text), model, key, text)
-    sinks.write_tokens(tokens, f"{out_dir}/tokens", uint16=len(model.vocab) <= 65536, mode="ignore")
+    model = tok.load_model(spark, vocab_path, merges_path, pt.SPECIAL_TOKENS)
+    if not sinks.finished(spark, f"{out_dir}/tokens"):
+        tokens = tok.encode(docs.select(key, text), model, key, text)
+        sinks.write_tokens(tokens, f"{out_dir}/tokens", uint16=len(model.vocab) <= 65536)
     return spark.read.parquet(f"{out_dir}/tokens")
 
 
@@ -34,12 +34,13 @@ def quality_recipe(positives: DataFrame, negatives: DataFrame, key: str = "doc_i
     build labelled rows (M4), train (M5), evaluate on the training rows (A12).
     Returns (model, metrics DataFrame)."""
     def prep(df, label):
-        d = df.select(key, text).filter(F.size(F.split(F.trim(F.col(text)), r"\s+")) > min_words)
+        d = df.select(key, text).filter(F.size(T.split_whitespace(text)) > min_words)
         return d.withColumn("quality", F.lit(label))
     both = prep(positives, 1).unionByName(prep(negatives, 0))
     bal = balance_classes(both, "quality", key)
     rows = fasttext_lines(bal.withColumn("label", F.when(F.col("quality") == 1, "high_quality")
                                          .otherwise("low_quality")), "label", text)
-    model = quality_pipeline(text="text", label="label").fit(rows.select("label", F.col(text).alias("text")))
-    metrics = evaluate(predict_labels(model, rows.select("label", F.col(text).alias("text"))), "label")
+    lines = rows.select("label", F.expr("substring(line, instr(line, ' ') + 1)").alias("text"))
+    model = quality_pipeline(text="text", label="label").fit(lines)
+    metrics = evaluate(predict_labels(model, lines), "label")
     return model, metrics

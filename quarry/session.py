@@ -18,7 +18,8 @@ def get_spark(master: str | None = None, app: str = "quarry",
     """
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ  # spark-submit has chosen master and sizes
+    if master or not submitted:
         builder = builder.master(master or f"local[{cpus}]")
     conf = {
         "spark.ui.enabled": "false",
@@ -28,12 +29,14 @@ def get_spark(master: str | None = None, app: str = "quarry",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": os.environ.get("QUARRY_DRIVER_MEMORY", "16g"),
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or int(cpus) * 2),
         # Broadcasts are chosen explicitly behind size checks; keep the
         # automatic threshold modest so AQE never broadcasts a large side.
         "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     }
+    if not submitted:
+        conf["spark.driver.memory"] = os.environ.get("QUARRY_DRIVER_MEMORY", "16g")
+    if shuffle_partitions or not submitted:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus) * 2)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -54,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
@@ -10,6 +10,16 @@ from quarry.functions import text as T
 ARTICLE_SCHEMA = "title string, text string"
 
 
+def scan_order() -> Column:
+    """Sortable place of a row in its files: path, block start, row within the split.
+
+    Splits are packed by size, so a bare row counter does not follow the file
+    names; within one block the counter does follow the file."""
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return F.concat_ws("\u0001", F.col("_metadata.file_path"), F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0"),
+                       F.lpad(inside.cast("string"), 12, "0"))
+
+
 def read_wiki_json(spark: SparkSession, path: str) -> DataFrame:
     """JSON-lines articles; malformed lines dropped, missing/null -> ''.
 
@@ -18,8 +28,8 @@ def read_wiki_json(spark: SparkSession, path: str) -> DataFrame:
     df = (spark.read.schema(ARTICLE_SCHEMA).option("mode", "DROPMALFORMED").json(path)
                .select(F.coalesce("title", F.lit("")).alias("title"),
                        F.coalesce("text", F.lit("")).alias("text"),
-                       F.col("_metadata.file_path").alias("file")))
-    return df.withColumn("ord", F.monotonically_increasing_id())
+                       F.col("_metadata.file_path").alias("file"), scan_order().alias("ord")))
+    return df
 
 
 def read_wiki_xml(spark: SparkSession, path: str) -> DataFrame:
@@ -34,11 +44,11 @@ def read_wiki_xml(spark: SparkSession, path: str) -> DataFrame:
                      F.coalesce(text.cast("string"), F.lit("")).alias("text"))
 
 
-def read_news(spark: SparkSession, path: str, limit: int = 400_000, fmt: str = "json") -> DataFrame:
-    """First ``limit`` documents' ``text`` in scan order (O2 cap)."""
+def read_news(spark: SparkSession, path: str, limit: int | None = None, fmt: str = "json") -> DataFrame:
+    """documents' ``text`` with their scan order; with ``limit`` the first so many (O2 cap)."""
     from quarry.operators.sampling import first_n
-    df = spark.read.format(fmt).load(path).select("text").withColumn("ord", F.monotonically_increasing_id())
-    return first_n(df, "ord", limit)
+    df = spark.read.schema("text string").format(fmt).load(path).select("text", scan_order().alias("ord"))
+    return df if limit is None else first_n(df, "ord", limit)
 
 
 def read_whole_files(spark: SparkSession, path: str) -> DataFrame:

@@ -49,15 +49,22 @@ def write_tokens(tokens: DataFrame, path: str, uint16: bool = False, ids: str =
                  mode: str = "overwrite") -> None:
     """K5: token table as parquet; ``uint16`` asserts ids fit 16 bits."""
     if uint16:
-        bad = tokens.filter(F.exists(ids, lambda x: (x < 0) | (x > 65535))).limit(1).count()
-        if bad:
-            raise ValueError("token id outside the uint16 range")
+        wide = F.exists(ids, lambda x: (x < 0) | (x > 65535))
+        tokens = tokens.withColumn(ids, F.when(wide, F.raise_error(F.lit("token id outside the uint16 range"))
+                                               .cast(tokens.schema[ids].dataType)).otherwise(F.col(ids)))
     tokens.write.mode(mode).parquet(path)
 
 
 def write_once(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """K6: cached stage - skip when the output already exists."""
-    df.write.mode("ignore").format(fmt).save(path)
+    """K6: cached stage - skip when a finished output exists; a half-written one is written anew."""
+    if not finished(df.sparkSession, path):
+        df.write.mode("overwrite").format(fmt).save(path)
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a job has completed its output folder (its success marker is there)."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return bool(marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker))
 
 
 def concat_corpora(*dfs: DataFrame) -> DataFrame:

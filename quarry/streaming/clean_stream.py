@@ -7,7 +7,6 @@ lines; MinHash needs all documents) stay batch jobs.
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +14,6 @@ from pyspark.sql import functions as F
 from quarry.functions import text as T
 from quarry.functions.plan import materialized
 from quarry.operators import pii
-from quarry.session import checkpoint_dir
 
 
 def clean_documents(stream: DataFrame, text: str = "text") -> DataFrame:
@@ -30,8 +28,9 @@ def start_clean_stream(spark: SparkSession, src: str, out: str, schema,
                        checkpoint: str | None = None, once: bool = True):
     """Read parquet files arriving in ``src``; write cleaned rows to ``out``.
 
-    The checkpoint lives under the shared checkpoint folder unless given."""
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "clean_stream")
+    The checkpoint lies beside ``out`` unless given: a fixed place, so that a
+    restarted stream goes on where it stopped."""
+    ckpt = checkpoint or f"{out.rstrip('/')}_checkpoint"
     stream = spark.readStream.schema(schema).parquet(src)
     q = (clean_documents(stream).writeStream.format("parquet")
          .option("path", out).option("checkpointLocation", ckpt))
