@@ -60,6 +60,7 @@ def _half_keys(line: Column, n: Column) -> Column:
 
 def _variants(batches):
     """(key, kind, h) for each variant: kind 0 same place, 1 shortened line, 2 whole line."""
+    held, size = [], 0
     for pdf in batches:
         for line, h in zip(pdf["line"], pdf["h"]):
             codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
@@ -73,7 +74,17 @@ def _variants(batches):
                 whole = _mix(part[-1:] ^ np.uint64(n << 1 | 1))
             key = np.concatenate([same, short, whole]).view(np.int64)
             kind = np.repeat(np.array([0, 1, 2], np.int32), [n, len(short), 1])
-            yield pd.DataFrame({"key": key, "kind": kind, "h": np.full(len(key), h, np.int64)})
+            held.append((key, kind, np.full(len(key), h, np.int64)))
+            size += len(key)
+            if size > 1 << 18:
+                yield _frame(held)
+                held, size = [], 0
+    if held:
+        yield _frame(held)
+
+
+def _frame(held: list) -> pd.DataFrame:
+    return pd.DataFrame(dict(zip(("key", "kind", "h"), map(np.concatenate, zip(*held)))))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -91,7 +102,8 @@ def near_classes(lines: DataFrame, min_chars: int = 20) -> DataFrame:
     few = F.broadcast(wanted) if wanted.count() <= SMALL_CLASSES else wanted
     classes = settled(long.join(few, "h").groupBy("h", "g", "line")
                           .agg(F.min(F.struct("doc_id", "line_no")).alias("place")))
-    variants = classes.select("line", "h").repartition("h").mapInPandas(_variants, "key long, kind int, h long")
+    slots = classes.sparkSession.sparkContext.defaultParallelism  # few lines make many rows: keep all cores
+    variants = classes.select("line", "h").repartition(2 * slots, "h").mapInPandas(_variants, "key long, kind int, h long")
     met = settled(variants.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("a"), F.max("h").alias("b"))
                           .filter("a != b"))
     members = settled(variants.join(met.filter("n > 2").select("key"), "key"))
@@ -134,7 +146,7 @@ def _rebuilt(text: pd.Series, gone: pd.Series) -> pd.Series:
 def dedup_lines(docs: DataFrame, min_chars: int = 20) -> DataFrame:
     """``docs`` with only the earliest of equal and nearly equal lines; same columns, same rows but emptied ones."""
     lines = _lines(docs)
-    seen = lines.select("h", "g", "doc_id")
+    seen = settled(lines.select("h", "g", "doc_id"))
     repeated = seen.groupBy("h", "g").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")) \
                    .filter("first_doc != last_doc")
     later = seen.join(repeated, ["h", "g"]).filter("doc_id != first_doc").select("doc_id", "h")
