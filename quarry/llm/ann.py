@@ -43,7 +43,7 @@ class SortedLines:
         self.values = np.take_along_axis(p, self.order, 1)
         self.x = x
 
-    def search(self, queries: np.ndarray, enough: int, share: float = 0.5, growth: float = 1.4, first: float = 0.15):
+    def search(self, queries: np.ndarray, enough: int, share: float = 0.5, growth: float = 1.3, first: float = 0.35):
         """(query, row) pairs whose collisions reach the threshold by the time each query ends."""
         m, n = self.order.shape
         threshold = max(1, int(np.ceil(share * m)))
@@ -97,8 +97,8 @@ def _block(vectors: pd.DataFrame, queries: pd.DataFrame, k: int, projections: in
         {"query_id": np.zeros(0, np.int64), "score": np.zeros(0), "ids": np.zeros(0, object)})
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, per_block: int = 1024, projections: int = 48,
-            enough: int = 64) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, per_block: int = 1024, projections: int = 96,
+            enough: int = 256) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows found of every query row (vec_id, embedding)."""
     rows = settled(usable(vectors))
     index = settled(classes(rows, k + 1).withColumn("dim", F.size("v")))
