@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 MARK = "▁"
 _SEPARATOR = 0x110000
 _SLICE, _CACHE, _DOCS = 1 << 19, 400_000, 1 << 21
+_LEVELS = 64  # positions of a word that are relaxed in all words at once
+_UNREACHED, _LOW, NEVER = -(1 << 40), (1 << 32) - 1, float("-inf")
 _LOADED: dict = {}
 
 
@@ -58,7 +60,7 @@ class Model:
         if any(MARK in p.lstrip(MARK) for p in self.id):
             raise ValueError("pieces cross word marks")
         self.piece = {i: p for p, i in self.id.items()}
-        self.single = {ord(p) for p in self.id if len(p) == 1}
+        self.single = np.array(sorted(ord(p) for p in self.id if len(p) == 1), np.uint32)
         apart = "".join(c for c in "\n\r\t" if not any(c in p and len(p) > 1 for p in self.id))
         self.split = re.compile(f"{MARK}*[^{MARK}{apart}]+|{MARK}+" + (f"|[{apart}]" if apart else "")).findall
         names = sorted(self.id)
@@ -68,29 +70,71 @@ class Model:
         self.codes = np.zeros((len(names), self.longest), np.uint32)
         for row, p in enumerate(names):
             self.codes[row, :len(p)] = [ord(c) for c in p]
-        self.known, self.fits = {}, {}
-
-    def merged(self, text: str) -> list:
-        """Pieces by merging: the best-scored neighbouring pair first, leftmost of equals."""
-        parts = list(text)
-        while True:
-            best = max(((self.score[a + b], -i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.score), default=None)
-            if best is None:
-                return parts
-            i = -best[1]
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        self.known, self.built = {}, {}
+        self.pairs, self.fits = np.array([-1]), np.array([False])
+
+    def steps(self, piece: str) -> list:
+        """(score of the next merge, first part, last part) while a piece is merged from its characters.
+
+        Empty if merging does not give the piece back; the last row's score is minus infinity.
+        """
+        if piece not in self.built:
+            parts, out = list(piece), []
+            while True:
+                best = max(((self.score[a + b], -i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.score), default=None)
+                out.append((best[0] if best else NEVER, parts[0], parts[-1]))
+                if best is None:
+                    break
+                i = -best[1]
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            self.built[piece] = out if len(parts) == 1 else []
+        return self.built[piece]
 
     def compatible(self, a: int, b: int) -> bool:
-        """Whether merging the text of pieces a and b gives these two (a = -1: nothing before)."""
-        if a < -1 or b < -1:
-            return b < -1 or self.compatible(-1, b)
-        left, right = self.piece.get(a, ""), self.piece[b]
-        return self.merged(left + right) == ([left] if left else []) + [right]
+        """Whether merging the text of pieces a and b gives these two (a = -1: nothing before).
+
+        Both sides merge on their own until a pair across the border is next (the
+        best score first, leftmost of equals): then they are not compatible.
+        """
+        if b < -1:
+            return True
+        right = self.steps(self.piece[b])
+        if a < 0:
+            return bool(right)
+        left = self.steps(self.piece[a])
+        if not left or not right:
+            return False
+        i = j = 0
+        while True:
+            mine, across, other = left[i][0], self.score.get(left[i][2] + right[j][1], NEVER), right[j][0]
+            if max(mine, across, other) == NEVER:
+                return True
+            if mine >= max(across, other):
+                i += 1
+            elif across >= other:
+                return False
+            else:
+                j += 1
+
+    def fitting(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """``compatible`` of many pairs, by a sorted table of the pairs met so far."""
+        keys = (np.maximum(before, -1) + 1 << 32) | np.maximum(piece, -1) + 1
+        for _ in range(2):
+            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+            new = np.unique(keys[self.pairs[at] != keys])
+            if not len(new):
+                break
+            found = [not k & _LOW or self.compatible((k >> 32) - 1, (k & _LOW) - 1) for k in new.tolist()]
+            pairs = np.concatenate([self.pairs, new])
+            by = np.argsort(pairs, kind="stable")
+            self.pairs, self.fits = pairs[by], np.concatenate([self.fits, found])[by]
+        return self.fits[at]
 
     def _suffixes(self, text: np.ndarray) -> np.ndarray:
-        """Positions sorted by their first ``longest`` characters, by prefix doubling."""
-        _, rank = np.unique(text, return_inverse=True)
-        rank, step = rank.astype(np.int64), 1
+        """Positions sorted by their first ``longest`` characters: three at once, then by prefix doubling."""
+        c = np.concatenate([text, [0, 0]]).astype(np.int64)
+        _, rank = np.unique((c[:-2] << 42) | (c[1:-1] << 21) | c[2:], return_inverse=True)
+        step = 3
         while step < self.longest:
             after = np.concatenate([rank[step:] + 1, np.zeros(min(step, len(rank)), np.int64)])[:len(rank)]
             _, rank = np.unique(rank * (len(rank) + 2) + after, return_inverse=True)
@@ -114,51 +158,93 @@ class Model:
         return lo
 
     def _encode_slice(self, words: list) -> None:
-        flat = [np.append(np.frombuffer(w.encode("utf-32-le", "surrogatepass"), "<u4"), _SEPARATOR) for w in words]
-        text = np.concatenate(flat).astype(np.uint32)
+        text = np.frombuffer("\0".join([*words, ""]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint32)
+        length = np.array([len(w) for w in words])
+        close = np.cumsum(length + 1) - 1
+        begin = close - length
+        text[close] = _SEPARATOR
         order = self._suffixes(text)
         padded = np.concatenate([text, np.full(self.longest, _SEPARATOR + 1, np.uint32)])
         lo, hi = self._range(padded, order, False), self._range(padded, order, True)
         n = hi - lo
         at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         start, piece, size = order[at], np.repeat(self.ids, n), np.repeat(self.size, n)
-        lost = np.flatnonzero(~np.isin(text, np.fromiter(self.single, np.uint32)) & (text != _SEPARATOR))
+        lost = np.flatnonzero(~np.isin(text, self.single) & (text != _SEPARATOR))
         start = np.concatenate([start, lost])
         piece = np.concatenate([piece, -2 - text[lost].astype(np.int64)])
         end = start + np.concatenate([size, np.ones(len(lost), np.int64)])
-        by = np.argsort(start, kind="stable")
-        last, back, fits = [None] * (len(text) + 1), [0] * (len(text) + 1), self.fits
-        bounds, begin = [], 0
-        for f in flat:
-            last[begin] = -1
-            bounds.append((begin, begin + len(f) - 1))
-            begin += len(f)
-        for s, e, p in zip(start[by].tolist(), end[by].tolist(), piece[by].tolist()):
-            before = last[s]
-            if before is None:
-                continue
-            ok = fits.get((before, p))
-            if ok is None:
-                ok = fits[before, p] = self.compatible(before, p)
-            if ok:
-                last[e], back[e] = p, s
-        for word, (s, e) in zip(words, bounds):
-            ids = []
-            while e > s:
-                p = last[e]
-                if p < -1:
-                    ids += [self.byte[b] for b in reversed(chr(-2 - p).encode("utf-8", "surrogatepass"))]
-                else:
-                    ids.append(p)
-                e = back[e]
-            self.known[word] = np.array(ids[::-1], "<i4").tobytes()
+        last, back = self._relax(start, end, piece, begin, length)
+        if (last[close] == _UNREACHED).any():
+            raise ValueError("no row of compatible pieces covers a word")
+        ends = np.flatnonzero(self._path(back, begin, close))
+        ids, stop = last[ends], np.searchsorted(ends, close, "right")
+        lost = np.flatnonzero(ids < -1)
+        if len(lost):
+            spelled = [[self.byte[b] for b in chr(-2 - c).encode("utf-8", "surrogatepass")] for c in ids[lost].tolist()]
+            count = np.ones(len(ids), np.int64)
+            count[lost] = [len(x) for x in spelled]
+            upto = np.concatenate([[0], np.cumsum(count)])
+            ids, stop = np.repeat(ids, count), upto[stop]
+            for i, x in zip(upto[lost].tolist(), spelled):
+                ids[i:i + len(x)] = x
+        coded, stop = ids.astype("<i4").tobytes(), (4 * stop).tolist()
+        self.known.update((w, coded[a:b]) for w, a, b in zip(words, [0, *stop], stop))
+
+    def _relax(self, start, end, piece, begin, length) -> tuple:
+        """Piece that ends at each position and where it starts.
+
+        Edges are sorted by their position in the word: each of the first positions is
+        relaxed in all words at once, the rest of long words edge by edge.
+        """
+        last, back = np.full(begin[-1] + length[-1] + 2, _UNREACHED), np.zeros(begin[-1] + length[-1] + 2, np.int64)
+        last[begin] = -1
+        level = np.minimum(start - np.repeat(begin, length + 1)[start], _LEVELS).astype(np.uint8)
+        by = np.argsort(level, kind="stable")
+        cuts = np.searchsorted(level[by], np.arange(_LEVELS + 1))
+        for a, b in zip(cuts, cuts[1:]):
+            rows = by[a:b]
+            rows = rows[last[start[rows]] != _UNREACHED]
+            if len(rows):
+                rows = rows[self.fitting(last[start[rows]], piece[rows])]
+                last[end[rows]], back[end[rows]] = piece[rows], start[rows]
+        rows = by[cuts[-1]:]
+        if len(rows):
+            rows, last, back, seen = rows[np.argsort(start[rows], kind="stable")], last.tolist(), back.tolist(), {}
+            for s, e, p in zip(start[rows].tolist(), end[rows].tolist(), piece[rows].tolist()):
+                before = last[s]
+                if before == _UNREACHED:
+                    continue
+                ok = seen.get((before, p))
+                if ok is None:
+                    ok = seen[before, p] = self.compatible(before, p)
+                if ok:
+                    last[e], back[e] = p, s
+            last, back = np.array(last), np.array(back)
+        return last, back
+
+    @staticmethod
+    def _path(back: np.ndarray, begin: np.ndarray, close: np.ndarray) -> np.ndarray:
+        """Marks the ends of the pieces that cover each word."""
+        path = np.zeros(len(back), bool)
+        for _ in range(_LEVELS):
+            path[close] = True
+            close = back[close]
+            begin, close = begin[close > begin], close[close > begin]
+        if len(close):
+            steps, far = back.tolist(), []
+            for first, at in zip(begin.tolist(), close.tolist()):
+                while at > first:
+                    far.append(at)
+                    at = steps[at]
+            path[far] = True
+        return path
 
     def learn(self, words: set) -> None:
         """Encodes every word not met before, in slices of bounded size."""
         if len(self.known) > _CACHE:
-            self.known.clear()
-        if len(self.fits) > 4 * _CACHE:
-            self.fits.clear()
+            self.known = {w: self.known[w] for w in words if w in self.known}
+        if len(self.pairs) > 4 * _CACHE:
+            self.pairs, self.fits = self.pairs[:1], self.fits[:1]
         part, size = [], 0
         for w in sorted(words - self.known.keys()):
             part.append(w)
