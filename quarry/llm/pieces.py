@@ -28,12 +28,14 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
 _SEPARATOR = 0x110000
-_SLICE, _CACHE, _DOCS = 1 << 19, 400_000, 1 << 21
+_SLICE, _CACHE, _DOCS = 1 << 18, 400_000, 1 << 21
 _LEVELS = 64  # positions of a word that are relaxed in all words at once
 _UNREACHED, _LOW, NEVER = -(1 << 40), (1 << 32) - 1, float("-inf")
 _LOADED: dict = {}
@@ -275,26 +277,40 @@ def load(path: str) -> Model:
     return _LOADED[path]
 
 
-def ids_column(text: str, model: str) -> Column:
-    """Ids of a text column; texts are matched together up to a bounded size."""
+def _ids(coded: list, missing: list) -> pa.Array:
+    """Arrow lists of ids from their bytes; null where the text is missing."""
+    ends = np.cumsum([0] + [len(c) // 4 for c in coded], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), "<i4")), mask=pa.array(missing, pa.bool_()))
 
-    def run(texts: pd.Series) -> pd.Series:
-        m, out, part, size = load(model), [], [], 0
-        for t in texts:
-            part.append(t or "")
-            size += len(part[-1])
-            if size > _DOCS:
-                out += m.encode(part)
-                part, size = [], 0
-        out += m.encode(part)
-        return pd.Series([None if t is None else np.frombuffer(b, "<i4") for t, b in zip(texts, out)], dtype=object)
 
-    return F.pandas_udf(run, "array<int>")(F.col(text))
+def _coded(docs: DataFrame, model: str, check: bool) -> DataFrame:
+    """(doc_id, ids) of every row and, with check, whether decoding gives the text back.
+
+    Texts are matched together, and results handed on, up to a bounded size.
+    """
+
+    def run(batches):
+        m = load(model)
+        for batch in batches:
+            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+            cuts = [0, *(np.flatnonzero(np.diff(size // _DOCS)) + 1).tolist(), len(size)]
+            for a, b in zip(cuts, cuts[1:]):
+                part = batch.slice(a, b - a)
+                texts = part.column("text").to_pylist()
+                coded = m.encode([t or "" for t in texts])
+                columns = [part.column("doc_id"), _ids(coded, [t is None for t in texts])]
+                if check:
+                    columns.append(pa.array([None if t is None else m.decode(np.frombuffer(c, "<i4").tolist()) == t.replace(MARK, " ")
+                                             for c, t in zip(coded, texts)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "same"][:len(columns)])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>" + (", same boolean" if check else ""))
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """``docs`` rows as (doc_id, ids)."""
-    return docs.select("doc_id", ids_column("text", model).alias("ids"))
+    return _coded(docs, model, False)
 
 
 def decode(rows: DataFrame, model: str) -> DataFrame:
@@ -309,11 +325,4 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, ids, n_ids and whether decoding gives the text back."""
-    text = F.translate("text", MARK, " ")
-
-    def same(ids: pd.Series, texts: pd.Series) -> pd.Series:
-        m = load(model)
-        return pd.Series([None if i is None else m.decode(i.tolist()) == t for i, t in zip(ids, texts)], dtype=object)
-
-    coded = docs.select("doc_id", text.alias("text"), ids_column("text", model).alias("ids"))
-    return coded.select("doc_id", "ids", F.size("ids").alias("n_ids"), F.pandas_udf(same, "boolean")("ids", "text").alias("same"))
+    return _coded(docs, model, True).select("doc_id", "ids", F.size("ids").alias("n_ids"), "same")
