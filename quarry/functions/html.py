@@ -8,8 +8,10 @@ unescape the common entities, then trim lines and drop blank ones.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quarry.functions.text import _c
 
@@ -48,11 +50,40 @@ def html_to_text(col) -> Column:
     return t
 
 
-def decode_bytes(col) -> Column:
-    """UTF-8 when valid, else ISO-8859-1 (every byte maps to a char)."""
+_CHARSET = r"(?i)charset\s*=\s*[\"']?\s*([a-z0-9_:.-]{2,40})"
+
+
+@F.pandas_udf(StringType())
+def _decode_as(content: pd.Series, names: pd.Series) -> pd.Series:
+    out = []
+    for raw, name in zip(content, names):
+        if raw is None:
+            out.append(None)
+            continue
+        try:
+            out.append(bytes(raw).decode(name or "latin-1", "replace"))
+        except (LookupError, UnicodeError):  # a name that is no text codec
+            out.append(bytes(raw).decode("latin-1"))
+    return pd.Series(out, dtype=object)
+
+
+def decode_bytes(col, header=None) -> Column:
+    """UTF-8 when valid, else the charset named in the HTTP header or the page, else ISO-8859-1.
+
+    ``header`` is a string column with the response header, if there is one; a page
+    names its charset within its first 4096 bytes.  Only content that is not valid UTF-8
+    and names a charset goes through Arrow, Spark's own ``decode`` knowing Unicode and
+    Latin-1 only.  Null content gives null.
+    """
     b = _c(col)
     s = b.cast("string")
-    return F.when(F.is_valid_utf8(s), s).otherwise(F.decode(b, "ISO-8859-1"))
+    page = F.regexp_extract(F.decode(F.substring(b, 1, 4096), "ISO-8859-1"), _CHARSET, 1)
+    name = F.lower(page)
+    if header is not None:
+        told = F.regexp_extract(F.coalesce(_c(header), F.lit("")), _CHARSET, 1)
+        name = F.lower(F.when(told != "", told).otherwise(page))
+    other = ~F.is_valid_utf8(s) & (name != "")
+    return F.when(F.is_valid_utf8(s), s).when(other, _decode_as(F.when(other, b), name)).otherwise(F.decode(b, "ISO-8859-1"))
 
 
 def strip_http_header(col) -> Column:
@@ -64,4 +95,4 @@ def strip_http_header(col) -> Column:
     # hex pairs must align: search only at even offsets
     idx = F.locate("0D0A0D0A", h)
     first_even = F.when((idx > 0) & (idx % 2 == 1), idx)
-    return F.when(first_even.isNotNull(), F.unhex(F.substring(h, first_even + 8, 1 << 30))).otherwise(_c(col))
+    return F.when(first_even.isNotNull(), F.unhex(F.substring(h, first_even + 8, F.length(h)))).otherwise(_c(col))

@@ -90,7 +90,8 @@ def response_texts(records: DataFrame) -> DataFrame:
     r = records.filter(F.col("warc_type") == "response")
     body = strip_http_header("content")
     r = r.withColumn("body", body).filter(F.length("body") > 0)
-    return r.withColumn("html", decode_bytes("body")).withColumn("text", html_to_text("html"))
+    header = F.substring_index(F.decode(F.substring("content", 1, 8192), "ISO-8859-1"), "\r\n\r\n", 1)
+    return r.withColumn("html", decode_bytes("body", header)).withColumn("text", html_to_text("html"))
 
 
 def conversion_texts(records: DataFrame) -> DataFrame:

@@ -45,6 +45,24 @@ def test_warc_files_plain_and_gzip(spark):
     assert [r["text"] for r in wet] == ["plain � text"]
 
 
+def test_charset_of_header_page_or_fallback(spark):
+    from quarry.functions.html import decode_bytes
+    cases = [  # content, header, text
+        ("Привет".encode(), "charset=koi8-r", "Привет"),  # valid UTF-8 stays
+        ("Привет".encode("cp1251"), "Content-Type: text/html; charset=windows-1251", "Привет"),
+        ('<meta charset="gbk">你好'.encode("gbk"), "", '<meta charset="gbk">你好'),
+        ("<meta content='text/html; charset=Shift_JIS'>日本".encode("shift_jis"), None, "<meta content='text/html; charset=Shift_JIS'>日本"),
+        ("é".encode("latin-1"), "charset=no-such-set", "é"),
+        ("é".encode("latin-1"), None, "é"),
+        (b"", None, ""),
+        (None, "charset=gbk", None),
+    ]
+    df = spark.createDataFrame([(i, bytearray(c) if c is not None else None, h) for i, (c, h, _) in enumerate(cases)],
+                               "i int, content binary, header string")
+    got = {r["i"]: r["t"] for r in df.select("i", decode_bytes("content", "header").alias("t")).collect()}
+    assert got == {i: t for i, (_, _, t) in enumerate(cases)}
+
+
 def test_pages_roundtrip_through_warc(spark):
     from quarry.sources import tables
     from quarry.sources.warc import pages_as_warc, records_from_files, response_texts
