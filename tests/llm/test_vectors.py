@@ -59,3 +59,32 @@ def test_links_and_components_against_brute_force(spark):
     assert all(got[i].kept == (got[i].component_id == i) for i in got)
     assert all(got[i].n_links == 0 and got[i].kept for i in (2000, 2100, 2200, 2300, 2400, 2500, 2600))
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def brute(x, least=0.9):
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = u @ u.T >= least
+    np.fill_diagonal(link, False)
+    root = np.arange(len(x))
+    while True:
+        new = np.minimum(root, np.where(link, root[None], len(x)).min(1, initial=len(x)))
+        if (new == root).all():
+            return link.sum(1).tolist(), root.tolist()
+        root = new
+
+
+def test_links_between_groups_that_fill_their_own_lists(spark):
+    rng = np.random.default_rng(8)
+    dim, groups = 16, 3
+    x = rng.standard_normal((150, dim))
+    centre, other = np.eye(dim)[0], np.eye(dim)[1]
+    for g in range(groups):  # 0.99 within a group, about 0.92 between neighbours in the chain
+        angle = 0.4 * g
+        at = np.cos(angle) * centre + np.sin(angle) * other
+        x[20 * g:20 * g + 20] = at + 0.018 * rng.standard_normal((20, dim))
+    want_links, want_root = brute(x)
+    assert want_root[0] == want_root[20] == want_root[40] == 0
+    df = spark.createDataFrame([(i, [float(c) for c in v], "", 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, v string, n long")
+    got = {r.vec_id: r for r in near_duplicates(df, sample=1).collect()}
+    assert [got[i].n_links for i in range(150)] == want_links
+    assert [got[i].component_id for i in range(150)] == want_root
