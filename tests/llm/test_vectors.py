@@ -88,3 +88,16 @@ def test_links_between_groups_that_fill_their_own_lists(spark):
     got = {r.vec_id: r for r in near_duplicates(df, sample=1).collect()}
     assert [got[i].n_links for i in range(150)] == want_links
     assert [got[i].component_id for i in range(150)] == want_root
+
+
+def test_rare_links_are_audited_and_a_failed_audit_compares_all(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((400, 16))
+    x[200:204] = x[:4] + 0.05 * rng.standard_normal((4, 16))  # four linked pairs in 400
+    x[204:208] = 0.93 * x[200:204] / np.linalg.norm(x[200:204], axis=1, keepdims=True) + 0.09 * rng.standard_normal((4, 16))
+    want_links, want_root = brute(x)
+    assert 8 <= sum(n > 0 for n in want_links) < 20
+    df = spark.createDataFrame([(i, [float(c) for c in v], "", 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, v string, n long")
+    got = {r.vec_id: r for r in near_duplicates(df, trees=1, leaf=2, k=1, most_rounds=1, sample=1, per_block=100).collect()}
+    assert [got[i].n_links for i in range(400)] == want_links
+    assert [got[i].component_id for i in range(400)] == want_root
