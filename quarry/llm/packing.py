@@ -39,7 +39,8 @@ class _Ids:
 
     The vocabulary is read by ``tokenizers``; a token's id is its merge rank, so
     the same ids come from ``tiktoken``, at several times the speed (the tests
-    hold both against each other).
+    hold both against each other).  A text that ``tiktoken`` cannot split (a run
+    of about a million blanks exhausts its pattern's stack) goes to ``tokenizers``.
     """
 
     def __init__(self, path: str):
@@ -48,7 +49,8 @@ class _Ids:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        tokenizer = Tokenizer.from_file(path)
+        tokenizer = self.whole = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
         special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
         shown = sorted(ByteLevel.alphabet())  # bytes are shown as themselves where printable, else from U+0100 up, in order
         plain = [c for c in shown if ord(c) < 256]
@@ -59,7 +61,10 @@ class _Ids:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian bytes."""
-        return self.engine.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        try:
+            return self.engine.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        except ValueError:
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def encoder(path: str) -> _Ids:

@@ -75,3 +75,8 @@ def test_pieces_can_carry_their_ids(spark):
     df = spark.createDataFrame([(1, "a b c", "x", 1)], SCHEMA)
     r = P.cut_documents(df, PATH).first()
     assert np.frombuffer(bytes(r.ids), "<u4").tolist() == whole("a b c") and r.length == r.doc_tokens == 4
+
+
+def test_a_million_blanks_in_a_row():
+    for text in ("a" + " " * 1_100_000 + "b", "\n" * 1_100_000, "x <|endoftext|>" + "\n " * 600_000 + "y"):
+        assert np.frombuffer(P.encoder(PATH).encode(text), "<u4").tolist() + [1] == whole(text)
