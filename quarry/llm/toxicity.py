@@ -43,6 +43,8 @@ _SIGN = re.compile("[" + re.escape("".join(LOOKALIKES)) + "]")
 _DOUBLE = re.compile(r"(.)\1+")
 _SLICE = 1 << 20
 _CACHE = 300_000
+_HELD = 64  # characters from which a token's reading is not kept
+_FLUSH = 4096
 SMALL_LABELS = 1_000_000  # label rows (16 bytes each) up to which they are broadcast
 
 
@@ -108,30 +110,33 @@ def character_model(docs: DataFrame) -> np.ndarray:
 
 def _lattice(token: str, joined: bool) -> list:
     """Per run of equal characters, the (reading, channel cost) pairs."""
-    steps = []
+    return list(_steps(token, joined))
+
+
+def _steps(token: str, joined: bool):
     for m in _RUN.finditer(token):
         ch, n = m.group(1), m.end() - m.start()
         if joined and ch in " ._*-":
-            steps.append([("", _JOIN_COST), (" ", _SPLIT_COST)])
+            yield [("", _JOIN_COST), (" ", _SPLIT_COST)]
         elif ch.isalpha():
-            steps.append([(ch, 0.0)] if n == 1 else [(ch * 2, 0.0), (ch, -2.0)] if n == 2 else [(ch, -0.5), (ch * 2, -1.0)])
+            yield [(ch, 0.0)] if n == 1 else [(ch * 2, 0.0), (ch, -2.0)] if n == 2 else [(ch, -0.5), (ch * 2, -1.0)]
         else:
             ways = [(m.group(0), _KEEP_COST)]
             for letter in LOOKALIKES.get(ch, ""):
                 ways.append((letter, _SIGN_COST - 0.5 * (n > 1)))
                 if n > 1:
                     ways.append((letter * 2, _SIGN_COST - 1.0))
-            steps.append(ways)
-    return steps
+            yield ways
 
 
 def decode(token: str, model: np.ndarray, joined: bool = False) -> str:
     """Most probable reading of a token (ties: first in lattice order).
 
-    The state of the search is the last three characters read.
+    The state of the search is the last three characters read, so the cost is linear
+    in the token; what all states agree on leaves the search every ``_FLUSH`` steps.
     """
-    best = {(0, 0, 0): (0.0, None)}
-    for ways in _lattice(token, joined):
+    best, parts = {(0, 0, 0): (0.0, None)}, []
+    for i, ways in enumerate(_steps(token, joined), 1):
         after: dict = {}
         for state, (score, path) in best.items():
             for out, cost in ways:
@@ -143,12 +148,25 @@ def decode(token: str, model: np.ndarray, joined: bool = False) -> str:
                 if s not in after or total > after[s][0]:
                     after[s] = (total, (path, out))
         best = after
+        if not i % _FLUSH:
+            read = [_read(path) for _, path in best.values()]
+            same = next((j for j, outs in enumerate(zip(*read)) if len(set(outs)) > 1), len(read[0]))
+            parts += read[0][:same]
+            for (state, (score, _)), outs in zip(list(best.items()), read):
+                path = None
+                for out in outs[same:]:
+                    path = (path, out)
+                best[state] = (score, path)
     score, path = max(((v[0] + model[s[0], s[1], s[2], 0], v[1]) for s, v in best.items()), key=lambda x: x[0])
+    return "".join(parts + _read(path))
+
+
+def _read(path: tuple | None) -> list:
     parts = []
     while path:
         path, out = path
         parts.append(out)
-    return "".join(reversed(parts))
+    return parts[::-1]
 
 
 def _symbol_of(ch: str) -> int:
@@ -158,12 +176,12 @@ def _symbol_of(ch: str) -> int:
 
 def _odd(token: str) -> bool:
     """Has more than one reading: a sign beside letters, or a letter three times running."""
-    return len(token) < 64 and any(c.isalpha() for c in token) and (
+    return any(c.isalpha() for c in token) and (
         any(c in LOOKALIKES for c in token) or any(len(m.group(0)) > 2 for m in _RUN.finditer(token)))
 
 
 class Restorer(dict):
-    """token -> its restored reading; holds at most a fixed number of tokens."""
+    """token -> its restored reading; holds at most a fixed number of tokens, long ones never."""
 
     def __init__(self, model: np.ndarray):
         super().__init__()
@@ -174,12 +192,14 @@ class Restorer(dict):
             self.clear()
         core = token.strip(".,;:?\"'()[]")
         tail = core.rstrip("!")
-        out = self[token] = decode(tail, self.model) if _odd(tail) else decode(core, self.model) if _odd(core) else token
+        out = decode(tail, self.model) if _odd(tail) else decode(core, self.model) if _odd(core) else token
+        if len(token) < _HELD:
+            self[token] = out
         return out
 
     def text(self, text: str) -> str:
         """The whole text, lower-cased and restored."""
-        low = _SPACED.sub(lambda m: decode(m.group(0)[:400], self.model, True) + m.group(0)[400:], text.lower())
+        low = _SPACED.sub(lambda m: decode(m.group(0), self.model, True), text.lower())
         return " ".join(self[t] for t in low.split())
 
     def words(self, text: str | None) -> set:
@@ -192,7 +212,7 @@ class Restorer(dict):
         words = set(_LETTERS.findall(single))
         # a repeated letter reads as itself once squeezed; only signs and spacing can change a word
         odd = [self[t] for t in set(low.split()) if _SIGN.search(t)]
-        odd += [decode(m.group(0)[:400], self.model, True) for m in _SPACED.finditer(low)]
+        odd += [decode(m.group(0), self.model, True) for m in _SPACED.finditer(low)]
         for t in odd:
             words.update(_DOUBLE.sub(r"\1", w) for w in _LETTERS.findall(t))
         return words

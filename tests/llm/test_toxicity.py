@@ -74,3 +74,27 @@ def test_one_class_empty_table_and_pipeline_form(spark):
     kept = X.drop_toxic(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert kept.columns == ["doc_id", "text", "score"]
     assert {r.doc_id for r in kept.collect()} == {i for i in range(200) if i % 4}
+
+
+def test_spaced_letters_and_long_tokens_are_read_whole():
+    texts = ["the garden of a little yellow house", "you idiot"] * 50
+    into = np.zeros(X.SYMBOLS ** X.ORDER, np.int64)
+    X._gram_counts(texts, into)
+    c = into.reshape((X.SYMBOLS,) * X.ORDER) + 1e-3
+    model = np.log(c / c.sum(-1, keepdims=True)).astype(np.float32)
+    restore = X.Restorer(model)
+    spaced = " ".join("thegardenofalittleyellowhouse" * 300 + "youidiot")
+    assert "idiot" in restore.words(spaced)
+    long = ",".join(["garden"] * 20 + ["1d10t"] + ["house"] * 20)
+    assert "idiot" in restore.words(long) and "1d10t" not in restore.text(long)
+    flush, X._FLUSH = X._FLUSH, 10**9
+    try:
+        assert restore.text(spaced) == X.decode(spaced, model, True)
+        plain = X.decode(spaced, model, True)
+    finally:
+        X._FLUSH = flush
+    X._FLUSH = 16
+    try:
+        assert X.decode(spaced, model, True) == plain
+    finally:
+        X._FLUSH = flush
