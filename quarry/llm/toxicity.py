@@ -10,8 +10,9 @@
    and worker).
 3. Words of the restored text, doubled letters squeezed, feed a logistic
    regression.  Document frequencies of every word over all labelled rows
-   choose the words (largest G2, and no word below ``least_g2``); the weights are fitted on at most
-   ``fit_rows`` labelled rows, taken in order of a hash.
+   choose the words (every one whose G2 is at least ``least_g2``); the weights are fitted on at most
+   ``fit_rows`` labelled rows, taken in order of a hash.  A chosen word that none of these rows
+   holds takes its smoothed log odds over all labelled rows.
 
 Cases: null and empty texts score as the intercept alone; labels null or of
 unlisted documents are ignored; without both classes every score is the
@@ -218,25 +219,57 @@ class Restorer(dict):
         return words
 
 
-def _fit(x: np.ndarray, y: np.ndarray, times: np.ndarray, l2: float = 0.02, rounds: int = 40) -> np.ndarray:
-    """Logistic regression by Newton steps; the last weight is the intercept."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
-    w = np.zeros(x.shape[1])
-    ridge = np.full(len(w), l2)
+def _fit(rows: np.ndarray, cols: np.ndarray, width: int, y: np.ndarray, times: np.ndarray, l2: float = 0.02, rounds: int = 40) -> np.ndarray:
+    """Logistic regression by Newton steps on 0/1 features, given as the (row, column) places of
+    the ones; the last weight is the intercept.  Steps are solved by conjugate gradients, so the
+    cost follows the ones and not the square of ``width``."""
+    n = len(y)
+    rows = np.concatenate([rows, np.arange(n)])
+    cols = np.concatenate([cols, np.full(n, width)])
+    ridge = np.full(width + 1, l2)
     ridge[-1] = 1e-6
+
+    def ahead(v):
+        return np.bincount(rows, v[cols], n)
+
+    def back(v):
+        return np.bincount(cols, v[rows], width + 1)
+
+    def loss(w):
+        z = ahead(w)
+        return float(times @ (np.logaddexp(0, z) - y * z) + 0.5 * ridge @ (w * w))
+
+    w = np.zeros(width + 1)
+    now = loss(w)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ ((p - y) * times) + ridge * w
-        hess = (x * (times * (p * (1 - p) + 1e-9))[:, None]).T @ x + np.diag(ridge)
-        step = np.linalg.solve(hess, grad)
-        w -= step
+        p = 1 / (1 + np.exp(-np.clip(ahead(w), -30, 30)))
+        grad = back((p - y) * times) + ridge * w
+        curve = times * (p * (1 - p) + 1e-9)
+        scale = back(curve) + ridge
+        step, r = np.zeros_like(w), grad.copy()
+        q = r / scale
+        d, rq = q, r @ q
+        for _ in range(500):
+            if rq <= 1e-20 * (1 + grad @ grad):
+                break
+            h = back(curve * ahead(d)) + ridge * d
+            a = rq / (d @ h)
+            step += a * d
+            r -= a * h
+            q = r / scale
+            rq, last = r @ q, rq
+            d = q + rq / last * d
+        after = loss(w - step)
+        while after > now + 1e-9 * abs(now) and np.abs(step).max() > 1e-9:
+            step /= 2
+            after = loss(w - step)
+        w, now = w - step, after
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-def train(docs: DataFrame, labels: DataFrame, features: int = 200, fit_rows: int = 10_000,
-          least_g2: float = 12.0) -> dict:
+def train(docs: DataFrame, labels: DataFrame, fit_rows: int = 10_000, least_g2: float = 12.0) -> dict:
     """Model from all documents (characters) and the given labels (words).
 
     ``labels`` has doc_id and toxic; a document with contrary labels counts as toxic.
@@ -274,20 +307,24 @@ def train(docs: DataFrame, labels: DataFrame, features: int = 200, fit_rows: int
     g2 = (part(F.col("a"), n1) + part(F.col("b"), n0)
           + miss_a * F.log((miss_a + 1e-9) / (float(n1) * (none + 1e-9) / float(n1 + n0)))
           + miss_b * F.log((miss_b + 1e-9) / (float(n0) * (none + 1e-9) / float(n1 + n0))))
-    best = [r.word for r in df.withColumn("g2", g2).filter(F.col("g2") >= least_g2).orderBy(F.desc("g2"), "word").limit(features).collect()]
+    best = df.withColumn("g2", g2).filter(F.col("g2") >= least_g2).orderBy(F.desc("g2"), "word").select("word", "a", "b").collect()
     if not best:
         return out
-    index = {w: i for i, w in enumerate(best)}
-    chosen = F.array(*[F.lit(w) for w in best])
+    index = {r.word: i for i, r in enumerate(best)}
+    chosen = spark.sparkContext.broadcast(index)
+
+    def places(words: pd.Series) -> pd.Series:
+        return pd.Series([sorted(chosen.value[w] for w in ws if w in chosen.value) for ws in words], dtype=object)
+
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     sample = (restored(picked, min(fit_rows, listed))
-              .select("toxic", F.array_sort(F.array_intersect("words", chosen)).alias("words"))
-              .groupBy("toxic", "words").agg(F.count(F.lit(1)).alias("n")).orderBy("toxic", "words").collect())
-    x = np.zeros((len(sample), len(best)), np.float32)
-    for i, r in enumerate(sample):
-        x[i, [index[w] for w in r.words]] = 1
-    times = np.array([r.n for r in sample], np.float64)
-    w = _fit(x, np.array([r.toxic for r in sample], np.float64), times)
+              .select("toxic", F.pandas_udf(places, "array<int>")("words").alias("places"))
+              .groupBy("toxic", "places").agg(F.count(F.lit(1)).alias("n")).orderBy("toxic", "places").collect())
+    rows = np.repeat(np.arange(len(sample)), [len(r.places) for r in sample])
+    cols = np.array([i for r in sample for i in r.places], np.int64)
+    w = _fit(rows, cols, len(best), np.array([r.toxic for r in sample], np.float64), np.array([r.n for r in sample], np.float64))
+    for i in np.setdiff1d(np.arange(len(best)), cols):
+        w[i] = np.log((best[i].a + 0.5) / (n1 + 1.0)) - np.log((best[i].b + 0.5) / (n0 + 1.0))
     out["words"], out["bias"] = {t: float(w[i]) for t, i in index.items()}, float(w[-1])
     return out
 

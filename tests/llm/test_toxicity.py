@@ -98,3 +98,31 @@ def test_spaced_letters_and_long_tokens_are_read_whole():
         assert X.decode(spaced, model, True) == plain
     finally:
         X._FLUSH = flush
+
+
+def test_every_significant_word_is_known(spark):
+    rnd = random.Random(5)
+    names = ["".join(rnd.choice("bcdfghklmnprstvz") + rnd.choice("aeiou") for _ in range(4)) for _ in range(400)]
+    names = sorted(set(names))[:300]
+    rows, labels = [], []
+    for i in range(3000):
+        toxic = int(i % 2 == 0)
+        words = [rnd.choice(GOOD) for _ in range(12)] + ([names[i // 2 % 300]] if toxic else [])
+        rows.append((i, " ".join(words), None))
+        labels.append((i, toxic))
+    docs, known = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, toxic int")
+    for fit_rows in (10_000, 200):  # every word in the fitted rows; most words outside them
+        trained = X.train(docs, known, fit_rows=fit_rows, least_g2=3.0)
+        words = trained["words"]
+        assert len(set(names) & set(words)) == len(names) and all(words[w] > 0 for w in names)
+
+
+def test_sparse_fit_equals_newton_on_the_dense_matrix():
+    rng = np.random.default_rng(3)
+    x = (rng.random((80, 6)) < 0.3).astype(float)
+    y = (rng.random(80) < 0.2 + 0.6 * x[:, 0]).astype(float)
+    times = rng.integers(1, 4, 80).astype(float)
+    w = X._fit(*np.nonzero(x), 6, y, times)
+    full = np.hstack([x, np.ones((80, 1))])
+    p = 1 / (1 + np.exp(-full @ w))
+    assert np.abs(full.T @ ((p - y) * times) + np.r_[np.full(6, 0.02), 1e-6] * w).max() < 1e-5
