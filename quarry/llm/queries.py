@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import line_dedup
+from quarry.llm import exact_dedup, line_dedup, phrases, turn_trie
 from quarry.llm.common import read_table, spread
 
 QUERIES: dict = {}
@@ -90,3 +90,21 @@ def op4(spark, sf_dir):
     """Links with cosine >= 0.9 and components over all vectors."""
     from quarry.llm.nn_descent import near_duplicates
     return near_duplicates(spread(read_table(spark, sf_dir, "embeddings")), least=0.9)
+
+
+@register("op11_exact_dedup", exact_dedup.ORACLE_SQL)
+def op11(spark, sf_dir):
+    """Document that stays, group size and digest of every document."""
+    return exact_dedup.exact_groups(spread(read_table(spark, sf_dir, "documents")))
+
+
+@register("op12_phrase_mining", phrases.ORACLE_SQL)
+def op12(spark, sf_dir):
+    """The 2000 best collocations of 2 to 5 words of every language."""
+    return phrases.mine(spread(read_table(spark, sf_dir, "documents")))
+
+
+@register("op13_conversation_trie", turn_trie.ORACLE_SQL)
+def op13(spark, sf_dir):
+    """Every node of the trie of the rebuilt conversations."""
+    return turn_trie.conversation_trie(read_table(spark, sf_dir, "conversations")).drop("path")
