@@ -61,36 +61,58 @@ def test_equals_brute_force(spark, least, percent, top):
 
 
 def test_full_filters_and_small_chunks_change_nothing(monkeypatch):
-    """The shard maps in this process: a bitmap that lets all pass, chunks of a few bytes, every word hot."""
+    """The maps in this process: bitmaps that let all pass, chunks of a few bytes, half of the words hot."""
     import numpy as np
     import pyarrow as pa
 
     rows = list(texts(random.Random(2), 60))
     monkeypatch.setattr(phrases, "CHUNK", 50)
     full = type("B", (), {"value": np.full(phrases.FILTER_BITS // 8, 255, np.uint8)})
-    hot = type("B", (), {"value": {(lang, w) for lang in ("en", "fr", "", "und") for w in (b"new", b"york", b"stock", b"of", b"the")}})
     batch = pa.RecordBatch.from_arrays([pa.array(["und" if r[0] is None else r[0] for r in rows]),
                                         pa.array([r[1].encode() for r in rows], pa.binary())], ["lang", "text"])
-    stripes = [b for pairs in (None, full) for b in phrases._striper(full, pairs, hot)([batch])]
-    flat = sorted((tuple(r.values()) for b in stripes for r in b.to_pylist()), key=lambda r: r[:3])
-    merged = phrases._merged([pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*flat), [f.type for f in stripes[0].schema])], stripes[0].schema.names)])
-    total, entry, segments = Counter(), Counter(), set()
-    for r in (r for b in merged for r in b.to_pylist()):
-        segments.add(r["segment"])
-        for w, c in zip(r["words"], r["counts"]):
-            total[r["lang"], r["prefix"]] += c
-            if w:
-                entry[r["lang"], r["prefix"] + " " + w] += c
+    every = np.concatenate([phrases._Chunk(lang, parts).hashes for lang, parts in phrases._parts([batch])])
+    hot = type("B", (), {"value": np.unique(every >> np.uint64(33 - phrases.WORD_SHARDS.bit_length()))[::2].astype(np.int64)})
+    stripes = [r for b in phrases._striper([full] * 3, hot, 16)([batch]) for r in b.to_pylist()]
+    assert len({r["part"] for r in stripes}) == 16
+    stripes = pa.RecordBatch.from_pylist(sorted(stripes, key=lambda r: (r["part"], r["lang"])))
+    entry = Counter()
+    for b in phrases._merger(1)([stripes.slice(i, 5) for i in range(0, len(stripes), 5)]):
+        for r in b.to_pylist():
+            entry[r["lang"], (r["prefix"] + " " + r["word"]) if r["prefix"] else r["word"]] += r["cnt"]
     want = Counter()
     for lang, text in rows:
         low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
         for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
             w = re.findall(r"[^\x20\x09]+", piece)
             want.update(("und" if lang is None else lang, " ".join(w[i:i + m])) for m in range(1, 6) for i in range(len(w) - m + 1))
-    assert len(segments) > 2
-    assert {k: v for k, v in want.items() if k[1].count(" ") < 4} == total
-    assert {k: v for k, v in want.items() if " " in k[1]} == entry
+    assert entry == want
+
+
+def test_packed_sums(monkeypatch):
+    """Sums of packed hash counts equal plain sums, above the least total and none below."""
+    import pyarrow as pa
+
+    rows = list(texts(random.Random(6), 80))
+    monkeypatch.setattr(phrases, "CHUNK", 200)
+    batch = pa.RecordBatch.from_arrays([pa.array(["und" if r[0] is None else r[0] for r in rows]),
+                                        pa.array([r[1].encode() for r in rows], pa.binary())], ["lang", "text"])
+    plain_totals, n = Counter(), Counter()
+    for lang, parts in phrases._parts([batch]):
+        chunk = phrases._Chunk(lang, parts)
+        words = chunk.codes[chunk.codes > 0]
+        n[lang] += len(words)
+        plain_totals.update((chunk.hashes[words] >> phrases.np.uint64(24)).tolist())
+    packed = [r for b in phrases._sketcher([], 256)([batch]) for r in b.to_pylist()]
+    packed = pa.RecordBatch.from_pylist(sorted(packed, key=lambda r: r["shard"]))
+    got, words = {}, Counter()
+    for b in phrases._summed(5)([packed]):
+        for r in b.to_pylist():
+            if r["h"] is None:
+                words[r["lang"]] += r["total"]
+            else:
+                got[r["h"]] = r["total"]
+    assert words == n
+    assert got == {h: c for h, c in plain_totals.items() if c >= 5} and got
 
 
 def test_long_products_and_empty_table(spark):
