@@ -223,13 +223,23 @@ def q_pair_counts(spark, sf):
                                      F.col("cnt").cast("bigint").alias("cnt"))
 
 
-@register("bpe_merges")
-def q_bpe_merges(spark, sf):
-    """64 merges trained on the documents (iterative: rows-only check)."""
-    from quarry.operators.tokenizer import merges_table, pretoken_counts, train_bpe
+_MERGES = 64
+_WORD_COUNTS_SQL = f"SELECT word, count(*) AS cnt FROM ({_PRETOKENS_SQL}) GROUP BY word"
+
+
+def _trained(spark, sf):
+    from quarry.operators.tokenizer import pretoken_counts, train_bpe
     wc = pretoken_counts(tables.documents(spark, sf).select("text"))
-    model = train_bpe(wc, 256 + 3 + 64)
-    return merges_table(spark, model)
+    return train_bpe(wc, 256 + 3 + _MERGES)
+
+
+@register("bpe_merges", f"""
+WITH {S.bpe_training(_WORD_COUNTS_SQL, _MERGES)}
+SELECT rank, left_id, right_id, new_id, l AS "left", r AS "right" FROM ({" UNION ALL ".join(f"SELECT * FROM m{i}" for i in range(_MERGES))})""")
+def q_bpe_merges(spark, sf):
+    """64 merges trained on the documents; bytes as hex."""
+    from quarry.operators.tokenizer import merges_table
+    return merges_table(spark, _trained(spark, sf)).withColumns({"left": F.hex("left"), "right": F.hex("right")})
 
 
 # ---------------------------------------------------------------------------
@@ -272,8 +282,9 @@ def q_bpe_roundtrip(spark, sf):
 SELECT source, sum(len(ids))::BIGINT AS n_tokens, count(*)::BIGINT AS n_docs
 FROM {_BYTES_SQL} GROUP BY ROLLUP (source)""")
 def q_token_totals(spark, sf):
-    docs, _, tok = _byte_tokens(spark, sf)
-    t = tok.join(docs.select("doc_id", "source"), "doc_id")
+    from quarry.operators.tokenizer import encode
+    docs, model, _ = _byte_tokens(spark, sf)
+    t = encode(docs, model, key="source")  # sums need the source alone beside the ids
     return (t.rollup("source").agg(F.sum(F.size("ids")).cast("bigint").alias("n_tokens"),
                                    F.count(F.lit(1)).cast("bigint").alias("n_docs")))
 
@@ -381,12 +392,39 @@ def q_mix_datasets(spark, sf):
                      F.col("window_id").cast("bigint").alias("window_id"), "x"))
 
 
-@register("vocab_longest")
+@register("vocab_longest", f"""
+WITH {S.bpe_training(_WORD_COUNTS_SQL, _MERGES)}
+SELECT id::INTEGER AS token_id, hex AS token_hex, (length(hex) // 2)::INTEGER AS n_bytes
+FROM v{_MERGES} ORDER BY n_bytes DESC, token_id LIMIT 10""")
 def q_vocab_longest(spark, sf):
-    """O3 on a 64-merge vocabulary trained on the documents (rows-only)."""
-    from quarry.operators.tokenizer import longest_tokens, pretoken_counts, train_bpe
-    wc = pretoken_counts(tables.documents(spark, sf).select("text"))
-    return longest_tokens(spark, train_bpe(wc, 256 + 3 + 64), 10)
+    """O3 on a 64-merge vocabulary trained on the documents."""
+    from quarry.operators.tokenizer import longest_tokens
+    return longest_tokens(spark, _trained(spark, sf), 10)
+
+
+@register("bpe_encode_trained", f"""
+WITH {S.bpe_training(_WORD_COUNTS_SQL, _MERGES)},
+u AS (SELECT doc_id, flatten(list_transform(regexp_extract_all({_UNIX_TEXT}, '[^\\n]*\\n|[^\\n]+'),
+        lambda line: {S.pretoken_words('line')})) AS ws FROM documents),
+q AS (SELECT doc_id, unnest(range(len(ws))) AS i, unnest(ws) AS word FROM u),
+d AS (SELECT DISTINCT word FROM q),
+e AS (SELECT word, CASE WHEN v.id IS NOT NULL THEN [v.id::INTEGER] ELSE {S.bpe_encoded('word', _MERGES)} END AS ids
+      FROM d LEFT JOIN (SELECT hex, max(id) AS id FROM v{_MERGES} GROUP BY hex) v ON v.hex = hex(encode(word))),
+f AS (SELECT doc_id, flatten(list(ids ORDER BY i)) AS ids FROM q JOIN e USING (word) GROUP BY doc_id)
+SELECT u.doc_id, coalesce(f.ids, []::INTEGER[]) AS ids FROM u LEFT JOIN f USING (doc_id)""")
+def q_bpe_encode_trained(spark, sf):
+    """Documents encoded with the 64 merges trained on them."""
+    from quarry.operators.tokenizer import encode
+    return encode(tables.documents(spark, sf).select("doc_id", "text"), _trained(spark, sf))
+
+
+@register("bpe_roundtrip_trained", """
+SELECT doc_id, replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS text FROM documents""")
+def q_bpe_roundtrip_trained(spark, sf):
+    """What the trained model encodes decodes to the text."""
+    from quarry.operators.tokenizer import decode, encode
+    model = _trained(spark, sf)
+    return decode(encode(tables.documents(spark, sf).select("doc_id", "text"), model), model).select("doc_id", "text")
 
 
 @register("bpe_first_merge", f"""

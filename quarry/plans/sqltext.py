@@ -197,3 +197,44 @@ def clean_generated(expr: str) -> str:
          f"ELSE upper(substr(p, 1, 1)) || substr(p, 2) END), '')")
     return (f"(CASE WHEN length({t}) > 0 AND right({t}, 1) NOT IN ('.', '!', '?') "
             f"THEN {t} || '.' ELSE {t} END)")
+
+
+# Symbols of a word under training: one character per id, far from combining marks.
+_SYM = 20_000
+
+
+def _symbols(expr: str) -> str:
+    return f"array_to_string(list_transform({utf8_bytes(expr)}, lambda x: chr(x + {_SYM})), '')"
+
+
+def bpe_training(words_sql: str, n_merges: int) -> str:
+    """CTEs of one-at-a-time BPE training: b0.. (the pair of each merge) and vocab (id, bytes as hex).
+
+    Every merge counts all pairs anew and rewrites every word: slow and plain,
+    independent of how the engine follows the counts.
+    """
+    from quarry.operators.tokenizer import base_vocab
+    first = len(base_vocab(pt.SPECIAL_TOKENS))
+    extra = ", ".join(f"({i}, '{b.hex().upper()}')" for i, b in base_vocab(pt.SPECIAL_TOKENS).items() if i > 255)
+    ctes = [f"w0 AS MATERIALIZED (SELECT cnt, {_symbols('word')} AS s FROM ({words_sql}))",
+            f"v0 AS MATERIALIZED (SELECT i AS id, printf('%02X', i) AS hex FROM range(256) r(i) "
+            f"UNION ALL SELECT * FROM (VALUES {extra}) x(id, hex))"]
+    for i in range(n_merges):
+        new = first + i
+        ctes += [
+            f"b{i} AS MATERIALIZED (SELECT p FROM (SELECT cnt, substr(s, unnest(range(1, length(s))), 2) AS p "
+            f"FROM w{i} WHERE length(s) >= 2) GROUP BY p ORDER BY sum(cnt) DESC, p LIMIT 1)",
+            f"m{i} AS MATERIALIZED (SELECT {i} AS rank, l.id::INTEGER AS left_id, r.id::INTEGER AS right_id, {new} AS new_id, "
+            f"l.hex AS l, r.hex AS r FROM b{i} JOIN v{i} l ON l.id = unicode(p[1]) - {_SYM} JOIN v{i} r ON r.id = unicode(p[2]) - {_SYM})",
+            f"v{i + 1} AS MATERIALIZED (SELECT * FROM v{i} UNION ALL SELECT new_id, l || r FROM m{i})",
+            f"w{i + 1} AS MATERIALIZED (SELECT cnt, replace(s, (SELECT p FROM b{i}), chr({new + _SYM})) AS s "
+            f"FROM w{i} WHERE length(s) >= 2)"]
+    return ",\n".join(ctes)
+
+
+def bpe_encoded(word: str, n_merges: int, first_id: int = 259) -> str:
+    """Ids of a word under the merges b0..: all merges in rank order (a whole-vocabulary word is settled by the caller)."""
+    s = _symbols(word)
+    for i in range(n_merges):
+        s = f"replace({s}, (SELECT p FROM b{i}), chr({first_id + i + _SYM}))"
+    return f"list_transform(string_split({s}, ''), lambda x: (unicode(x) - {_SYM})::INTEGER)"

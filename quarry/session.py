@@ -68,3 +68,9 @@ def reliable_checkpoint(df):
     """Cut lineage with a reliable checkpoint in the shared folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate folder of ours that nothing reads any more (any Hadoop file system)."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
