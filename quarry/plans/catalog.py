@@ -158,9 +158,8 @@ SELECT md5(line) AS line_hash, count(*)::BIGINT AS cnt, min(line) AS line
 FROM (SELECT unnest({S.file_lines('text')}) AS line FROM documents)
 GROUP BY 1 ORDER BY cnt DESC, line_hash LIMIT 20""")
 def q_line_frequency_top(spark, sf):
-    from quarry.operators.dedup import line_frequency
-    lf = line_frequency(tables.documents(spark, sf).select("doc_id", "text"))
-    return lf.orderBy(F.desc("cnt"), "line_hash").limit(20)
+    from quarry.operators.dedup import frequent_lines
+    return frequent_lines(tables.documents(spark, sf).select("text"), 20)
 
 
 # ---------------------------------------------------------------------------

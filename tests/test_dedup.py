@@ -40,3 +40,62 @@ def test_minhash_parameter_errors(spark):
         dedup.minhash_removed(df, 4, 5, 2, 0.5)
     with pytest.raises(ValueError):
         dedup.minhash_removed(df, 4, 0, 2, 0.5)
+
+
+def brute_removed(docs, k, bands, n, t):
+    import hashlib
+    sets, keys = {}, {}
+    for d, text in docs:
+        w = dedup.normalized_words(text.lower())
+        grams = {" ".join(w[i:i + n]) for i in range(len(w) - n + 1)}
+        sig = [min((hashlib.md5(f"{i}{g}".encode()).hexdigest() for g in grams), default="inf") for i in range(k)]
+        r = k // bands
+        sets[d], keys[d] = grams, [tuple(sig[b * r:b * r + r]) for b in range(bands)]
+    out = set()
+    for j in sets:
+        for i in sets:
+            if i < j and any(a == b for a, b in zip(keys[i], keys[j])):
+                union = sets[i] | sets[j]
+                if (len(sets[i] & sets[j]) / len(union) if union else 1.0) >= t:
+                    out.add(j)
+    return out
+
+
+def test_residual_pass_equals_brute_force(spark):
+    """Loose bands of single rows put many unlike documents into a bucket; chains and clusters hang off others than its leader."""
+    import random
+    rnd = random.Random(12)
+    docs = []
+    for d in range(160):
+        if docs and rnd.random() < 0.5:
+            w = rnd.choice(docs)[1].split()
+            for _ in range(rnd.randrange(0, 4)):
+                w[rnd.randrange(len(w))] = f"w{rnd.randrange(60)}"
+        else:
+            w = ["common"] + [f"w{rnd.randrange(60)}" for _ in range(rnd.randrange(3, 16))]
+        docs.append((d, " ".join(w)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    for args in ((2, 2, 1, 0.6), (6, 6, 2, 0.5), (3, 3, 1, 0.8), (4, 2, 1, 0.3)):
+        want = brute_removed(docs, *args)
+        assert len(want) > 10
+        assert {r["doc_id"] for r in dedup.minhash_removed(df, *args).collect()} == want, args
+
+
+def test_hot_bucket_of_unlike_documents_makes_no_pairs(spark):
+    """400 documents of equal size share a bucket through one word; its prefixes are rare shingles only."""
+    docs = [(d, " ".join(["common"] + [f"own{d}x{i}" for i in range(9)])) for d in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    sets = dedup.shingle_sets(df, 1)
+    assert dedup.prefixes(sets, 0.8).count() == 0
+    # with one like document per tenth of them: rows in proportion to documents, not to their square
+    like = docs + [(400 + d, docs[d][1].replace(f"own{d}x0", "other")) for d in range(0, 400, 10)]
+    df = spark.createDataFrame(like, "doc_id long, text string")
+    assert dedup.prefixes(dedup.shingle_sets(df, 1), 0.8).count() <= 3 * 80
+    assert {r["doc_id"] for r in dedup.minhash_removed(df, 12, 12, 1, 0.8).collect()} == {400 + d for d in range(0, 400, 10)}
+
+
+def test_normalized_words():
+    assert dedup.normalized_words("café, déjà «vu»! a_b c-d\x1ce\xa0f $3") == [
+        "café", "déjà", "vu", "ab", "cd", "e", "f", "$3"]
+    assert dedup.shingles(["a", "b", "a", "b"], 2) == [b"a b", b"b a"]
+    assert dedup.shingles(["a"], 2) == []
