@@ -3,25 +3,24 @@
 The text layout is our own definition (a chain of RE2-safe substitutions so
 the SQL oracle can run the same chain): drop comments and script/style/head
 blocks, turn block-level tags into line breaks, strip the remaining tags,
-unescape the common entities, then trim lines and drop blank ones.
+decode character references, then trim lines and drop blank ones.
 """
 
 from __future__ import annotations
 
+import html
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from quarry.functions import charset
 from quarry.functions.text import _c
 
 BLOCK_TAGS = ("address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|"
               "form|h1|h2|h3|h4|h5|h6|header|hr|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul")
 
-# Fixed entity table (named and numeric forms handled), applied with &amp; last.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&amp;", "&")]
-
 HTML_STEPS = [
     (r"(?s)<!--.*?-->", ""),
     (r"(?is)<script\b[^>]*>.*?</script\s*>", ""),
@@ -38,13 +37,28 @@ SPACE_STEPS = [
 ]
 
 
+def _unescaped(texts: pd.Series) -> pd.Series:
+    return texts.map(html.unescape, na_action="ignore")
+
+
+def decode_references(col) -> Column:
+    """Character references to characters, once and from left to right.
+
+    All decimal and hexadecimal references and every name of the HTML
+    standard (Arrow-batched; texts without ``&`` stay on the JVM).  What a
+    reference decodes to is not decoded again: ``&amp;lt;`` gives ``&lt;``.
+    """
+    t = _c(col)
+    has = F.contains(t, F.lit("&"))
+    return F.when(has, F.pandas_udf(_unescaped, "string")(F.when(has, t))).otherwise(t)
+
+
 def html_to_text(col) -> Column:
     """P1."""
     t = _c(col)
     for pat, rep in HTML_STEPS:
         t = F.regexp_replace(t, pat, rep)
-    for ent, ch in ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
+    t = decode_references(t)
     for pat, rep in SPACE_STEPS:
         t = F.regexp_replace(t, pat, rep)
     return t
@@ -55,25 +69,17 @@ _CHARSET = r"(?i)charset\s*=\s*[\"']?\s*([a-z0-9_:.-]{2,40})"
 
 @F.pandas_udf(StringType())
 def _decode_as(content: pd.Series, names: pd.Series) -> pd.Series:
-    out = []
-    for raw, name in zip(content, names):
-        if raw is None:
-            out.append(None)
-            continue
-        try:
-            out.append(bytes(raw).decode(name or "latin-1", "replace"))
-        except (LookupError, UnicodeError):  # a name that is no text codec
-            out.append(bytes(raw).decode("latin-1"))
-    return pd.Series(out, dtype=object)
+    return pd.Series([None if raw is None else charset.decode(bytes(raw), name) for raw, name in zip(content, names)], dtype=object)
 
 
 def decode_bytes(col, header=None) -> Column:
-    """UTF-8 when valid, else the charset named in the HTTP header or the page, else ISO-8859-1.
+    """UTF-8 when valid, else the charset named in the HTTP header or the page, else the one detected.
 
     ``header`` is a string column with the response header, if there is one; a page
     names its charset within its first 4096 bytes.  Only content that is not valid UTF-8
-    and names a charset goes through Arrow, Spark's own ``decode`` knowing Unicode and
-    Latin-1 only.  Null content gives null.
+    goes through Arrow, Spark's own ``decode`` knowing Unicode and Latin-1 only; without
+    a (known) name :func:`quarry.functions.charset.detect` reads the bytes.  Null content
+    gives null.
     """
     b = _c(col)
     s = b.cast("string")
@@ -82,8 +88,8 @@ def decode_bytes(col, header=None) -> Column:
     if header is not None:
         told = F.regexp_extract(F.coalesce(_c(header), F.lit("")), _CHARSET, 1)
         name = F.lower(F.when(told != "", told).otherwise(page))
-    other = ~F.is_valid_utf8(s) & (name != "")
-    return F.when(F.is_valid_utf8(s), s).when(other, _decode_as(F.when(other, b), name)).otherwise(F.decode(b, "ISO-8859-1"))
+    other = ~F.is_valid_utf8(s)
+    return F.when(other, _decode_as(F.when(other, b), name)).otherwise(s)
 
 
 def strip_http_header(col) -> Column:

@@ -11,14 +11,11 @@ character classes so both engines agree with the reference behaviour.
 
 # PII patterns and replacement tokens (email, phone, IP), in masking order.
 EMAIL_PATTERN = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
-PHONE_PATTERN_PY = r"\(?\d{3}\)?[\s.\-]?\d{3}[\s.\-]?\d{4}"
-IP_PATTERN_PY = r"\b(?:\d{1,3}\.){3}\d{1,3}\b"
 EMAIL_TOKEN = "|||EMAIL_ADDRESS|||"
 PHONE_TOKEN = "|||PHONE_NUMBER|||"
 IP_TOKEN = "|||IP_ADDRESS|||"
 
 # GPT-2 pre-tokenizer pattern and the special tokens of the tokenize job.
-GPT2_PAT_PY = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPECIAL_TOKENS = ["<|endoftext|>", "<|user|>", "<|assistant|>"]
 ENDOFTEXT = "<|endoftext|>"
 USER_TAG = "<|user|>"

@@ -63,6 +63,32 @@ def q_html_text(spark, sf):
     return tables.pages(spark, sf).select("page_id", html_to_text("html").alias("text"))
 
 
+# References that stand for what the page says anyway: named, decimal, hexadecimal, and an escaped reference.
+_REFERENCES = [("é", "&eacute;"), ("ü", "&#252;"), ("ß", "&#xDF;"), ("ä", "&#x000e4;"), ("ñ", "&ntilde;"), (" the ", " &#116;&#104;e&#32;")]
+
+
+@register("html_references", f"""
+SELECT page_id, {S.html_text("html || ' &amp;lt;'")} AS text FROM pages""")
+def q_html_references(spark, sf):
+    """Pages whose letters are written as character references read like the pages themselves."""
+    from quarry.functions.html import html_to_text
+    p = tables.pages(spark, sf)
+    t = F.col("html")
+    for letter, reference in _REFERENCES:
+        t = F.replace(t, F.lit(letter), F.lit(reference))
+    return p.select("page_id", html_to_text(F.concat(t, F.lit(" &amp;lt;"))).alias("text"))
+
+
+@register("warc_page_text", f"""
+SELECT url, {S.html_text('html')} AS text, len({S.split_ws(S.html_text('html'))}) > 100 AS long
+FROM pages""")
+def q_warc_page_text(spark, sf):
+    """The pages rendered as WARC files in Latin-1 or UTF-8, parsed back to records and to text."""
+    from quarry.sources.warc import is_long, pages_as_warc, records_from_files, response_texts
+    texts = response_texts(records_from_files(pages_as_warc(tables.pages(spark, sf)), ["response"]))
+    return texts.select(F.col("target_uri").alias("url"), "text", is_long("text").alias("long"))
+
+
 @register("page_quality", f"""
 WITH p AS (SELECT page_id, {S.html_text('html')} AS text FROM pages),
 g AS ({S.gopher_cte('p', 'text', 'page_id')})

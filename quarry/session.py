@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +30,8 @@ def get_spark(master: str | None = None, app: str = "quarry",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Filters on a Python Data Source reach its reader.
+        "spark.sql.python.filterPushdown.enabled": "true",
         # Broadcasts are chosen explicitly behind size checks; keep the
         # automatic threshold modest so AQE never broadcasts a large side.
         "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
@@ -42,6 +45,7 @@ def get_spark(master: str | None = None, app: str = "quarry",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -74,3 +78,26 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete an intermediate folder of ours that nothing reads any more (any Hadoop file system)."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a session, where they could not import it otherwise.
+
+    Nothing is sent when the folder that holds the package is on the workers'
+    path already: in ``PYTHONPATH`` or the working folder of the driver.
+    """
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    path = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    sc = spark.sparkContext
+    if root in path or os.path.abspath(os.getcwd()) == root or getattr(sc, "_quarry_shipped", False):
+        return
+    out = os.path.join(tempfile.mkdtemp(prefix="quarry-package-"), "quarry.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    sc._quarry_shipped = True

@@ -52,3 +52,24 @@ def test_quality_recipe(spark):
     _, m = quality_recipe(pos, neg)
     r = m.first()
     assert r["n"] > 0 and 0.0 <= r["precision_at_1"] <= 1.0
+
+
+def test_queries_run_from_another_folder():
+    """Workers of a session we did not make, in a folder that does not hold the package, can import it."""
+    import os
+    import subprocess
+    import sys
+    import tempfile
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import importlib.util, sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+spec = importlib.util.spec_from_file_location("entry", {root!r} + "/__spark_entry__.py")
+entry = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(entry)
+print("rows", entry.queries()["bpe_encode_bytes"](spark, "/root/testdata/sf0.001").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(), env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 200" in out.stdout, out.stderr[-2000:]

@@ -163,3 +163,127 @@ def test_windows_property(spark):
     per_tok = {r["rank"]: r["c"] for r in rank_shards(flat, n, 3).groupBy("rank")
                .agg(F.count(F.lit(1)).alias("c")).collect()}
     assert per_tok == {r["rank"]: r["n_tokens"] for r in shard_summary(toks, 3).collect()}
+
+
+def _archive(records, folder, name, packed):
+    path = os.path.join(folder, name)
+    with open(path, "wb") as f:
+        for r in records:
+            f.write(gzip.compress(r) if packed else r)
+    return path
+
+
+def test_warc_type_filter_reaches_the_scan(spark):
+    from quarry.sources.warc import read_warc
+    d = tempfile.mkdtemp(prefix="quarry-warc-")
+    recs = [_warc_record(k, f"http://{i}", b"x" * i) for i, k in enumerate(["response", "request", "warcinfo", "response"] * 5)]
+    _archive(recs, d, "a.warc.gz", True)
+    _archive(recs[:3], d, "b.warc", False)
+    records = read_warc(spark, d)
+    plan = records.filter("warc_type = 'response'")._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PushedFilters" in plan and "EqualTo(warc_type,response)" in plan.replace(" ", ""), plan
+    assert "Filter (" not in plan, plan  # nothing left to filter above the scan
+    got = records.filter("warc_type = 'response'").collect()
+    assert {r.warc_type for r in got} == {"response"} and len(got) == 11
+    assert sorted(r.record_no for r in got if r.path.endswith("gz")) == [i for i in range(20) if i % 4 in (0, 3)]
+    assert records.filter("warc_type in ('request', 'warcinfo') and length(content) > 5").count() == sum(i % 4 in (1, 2) and i > 5 for i in range(20))
+    assert read_warc(spark, d, types=["request"]).filter("warc_type = 'response'").count() == 0
+    assert read_warc(spark, d, types=["request"]).count() == 6
+
+
+def test_warc_stream_reads_in_small_pieces():
+    """Members and records across chunk borders, damage, missing lengths, a body far larger than a chunk."""
+    import io
+    import random
+
+    from quarry.sources import warc
+    rnd = random.Random(5)
+    bodies = [bytes(rnd.randrange(256) for _ in range(n)) for n in (0, 1, 5, 70_000, 3)] + [b"\0" * (9 << 20), b"WARC/1.0 inside"]
+    recs = [_warc_record("response", f"http://{i}", b) for i, b in enumerate(bodies)]
+    plain = b"".join(recs)
+    packed = b"".join(gzip.compress(r) for r in recs)
+    one = gzip.compress(plain)
+    most = 0
+
+    class Slow(io.BytesIO):
+        def read(self, n=-1):
+            return super().read(min(n, 1000))
+
+    for data in (plain, packed, one):
+        got = [(no, body) for no, _, _, _, body in warc.stream_records(Slow(data))]
+        assert got == list(enumerate(bodies))
+        most = max(most, len(got))
+        assert [no for no, *_ in warc.stream_records(Slow(data), {"none"})] == []
+    cut = packed[:len(gzip.compress(recs[0])) + len(gzip.compress(recs[1])) + 5] + b"broken"
+    assert [r[4] for r in warc.stream_records(io.BytesIO(cut))] == bodies[:2]
+    assert list(warc.stream_records(io.BytesIO(b""))) == []
+    assert list(warc.stream_records(io.BytesIO(b"no archive at all"))) == []
+    odd = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: many\r\n\r\n" + recs[1]
+    assert [r[4] for r in warc.stream_records(io.BytesIO(odd))] == [b"", bodies[1]]
+
+
+def test_warc_task_memory_does_not_grow_with_the_file():
+    """60 MB of records pass through the reader with a few MB of live Python memory."""
+    import tracemalloc
+
+    from quarry.sources.warc import WarcReader
+    from pyspark.sql.datasource import InputPartition
+    d = tempfile.mkdtemp(prefix="quarry-warc-")
+    one = gzip.compress(_warc_record("response", "http://a", b"a" * 1_000_000))
+    path = _archive([], d, "big.warc.gz", True)
+    with open(path, "wb") as f:
+        for _ in range(60):
+            f.write(one)
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in WarcReader([path], None).read(InputPartition(path)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 60 and peak < 40e6
+
+
+SAMPLES = {
+    "gb18030": "中文网页常常没有说明编码，所以程序必须根据字节判断它属于哪一种编码。",
+    "big5": "這個網頁沒有說明編碼，所以程式必須根據位元組判斷它屬於哪一種。",
+    "shift_jis": "このページには文字コードの指定がありません。プログラムが推定します。",
+    "euc_jp": "このページには文字コードの指定がありません。プログラムが推定します。",
+    "euc_kr": "이 페이지에는 문자 인코딩이 지정되어 있지 않으므로 프로그램이 추정합니다.",
+    "koi8_r": "На этой странице не указана кодировка, поэтому программа определяет её сама.",
+    "cp1251": "На этой странице не указана кодировка, поэтому программа определяет её сама.",
+    "cp866": "На этой странице не указана кодировка, поэтому программа определяет ее сама.",
+    "iso8859_5": "На этой странице не указана кодировка, поэтому программа определяет её сама.",
+    "cp1252": "Cette page n’indique aucun codage ; le système doit donc le déterminer à partir des octets.",
+    "cp1250": "Na této stránce není uvedeno kódování, a proto je program musí určit sám. Zażółć gęślą jaźń.",
+    "cp1253": "Αυτή η σελίδα δεν αναφέρει κωδικοποίηση και το πρόγραμμα πρέπει να τη βρει.",
+    "cp1255": "בדף הזה לא צוין קידוד ולכן התוכנית צריכה לזהות אותו בעצמה.",
+    "cp1256": "هذه الصفحة لا تذكر الترميز ولذلك يجب على البرنامج أن يحدده بنفسه.",
+    "cp874": "หน้านี้ไม่ได้ระบุการเข้ารหัส ดังนั้นโปรแกรมจึงต้องตรวจหาเอง",
+}
+
+
+def test_charset_is_detected_where_none_is_named(spark):
+    from quarry.functions import charset
+    from quarry.functions.html import decode_bytes
+    rows = []
+    for name, text in SAMPLES.items():
+        page = f"<html><p>{text}</p><p>short ascii words in between, 1999</p></html>"
+        raw = page.encode(name)
+        assert charset.decode(raw) == page, (name, charset.detect(raw))
+        rows.append((page, bytearray(raw)))
+    df = spark.createDataFrame(rows, "page string, content binary")
+    assert df.filter(decode_bytes("content") != F.col("page")).count() == 0
+    assert charset.decode("日本語".encode("iso2022_jp")) == "日本語"
+    assert charset.decode("é".encode("utf-16")) == "é"
+    assert charset.decode(b"") == "" and charset.detect(b"plain") == "ascii"
+    assert charset.decode(b"\x81\x8d\xff\x00", "no-such-set")  # something, no error
+
+
+def test_character_references(spark):
+    from quarry.functions.html import decode_references, html_to_text
+    cases = {"&#8217; &#x27; &eacute; &mdash; &amp;lt; &amp;#39;": "’ ' é — &lt; &#39;", "&copy;&nbsp;&hearts;": "©\xa0♥",
+             "a & b &unknown; &#xZZ; &": "a & b &unknown; &#xZZ; &", "none": "none", "&#0;&#128;": "�€"}
+    df = spark.createDataFrame([(k,) for k in [*cases, None]], "t string")
+    got = {r.t: r.d for r in df.select("t", decode_references("t").alias("d")).collect()}
+    assert got == {**cases, None: None}
+    one = spark.createDataFrame([("<p>x &lt;b&gt; y</p>&nbsp;<br>&rarr;",)], "h string").select(html_to_text("h").alias("t")).first().t
+    assert one == "x <b> y\n→"
