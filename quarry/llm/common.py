@@ -38,3 +38,11 @@ def blocks_for(rows: int, per_block: int) -> int:
 def crc32_mod(col: Column, n: int) -> Column:
     """crc32 of a value's text modulo n (null stays null)."""
     return F.pmod(F.crc32(col.cast("string").cast("binary")), F.lit(n))
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that no column of ``df`` has, whatever the letter case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -10,10 +10,14 @@ keep the join exact and linear: "the line without character i, i, length"
 (lines that meet differ in that character alone, so all of them are within one
 edit of each other and the earliest settles the rest), and "the line without
 one character" against whole lines (a star around the whole line).  Pairs that
-meet are verified with the real edit distance.  A line can only be within one
-edit of another when they agree on the half without the edit, so lines that
-share neither half with a different line are known to have no partner and emit
-nothing; this filter loses no pair and keeps the join small.
+meet are verified with the real edit distance.  Two filters keep the join small
+and lose no pair.  Lines within one edit agree on the half without the edit, so
+lines that share neither half with a different line emit nothing.  And they
+agree on all but the segment of the edit (a line is laid into segments of about
+``SEGMENT`` characters, once at its length and once as a line one character
+longer), so a line emits variants only inside segments outside of which it
+equals another line.  A group of near copies that differ in words costs its
+lines times the segments, not times the length.
 
 A line in a third of all rows is one class: classes come from partial
 aggregation of fixed-width hashes, and variants are emitted once per class.
@@ -34,9 +38,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import settled
+from quarry.llm.common import fresh_name, settled
 
 SMALL_CLASSES = 2_000_000  # candidate classes (16 bytes each) up to which they are broadcast
+SEGMENT = 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -58,33 +63,74 @@ def _half_keys(line: Column, n: Column) -> Column:
     return F.array(*out)
 
 
-def _variants(batches):
-    """(key, kind, h) for each variant: kind 0 same place, 1 shortened line, 2 whole line."""
+def _hashed(line: str):
+    """(codes, power, part): ``part[i]`` is the polynomial hash of the first i characters, ``power[i]`` = base^(i+1)."""
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    power = np.multiply.accumulate(np.full(len(codes) + 1, _BASE, np.uint64))
+    return codes, power, np.concatenate([[np.uint64(0)], np.cumsum(codes * power[:-1], dtype=np.uint64)])
+
+
+def _bounds(n: int) -> np.ndarray:
+    """Edges of the segments of a line of n characters."""
+    count = max(1, -(-n // SEGMENT))
+    return np.arange(count + 1) * n // count
+
+
+def _segment_keys(batches):
+    """(key, h, longer, segment): hash of all of a line but one segment, as a line of its length and as one a character longer."""
     held, size = [], 0
     for pdf in batches:
         for line, h in zip(pdf["line"], pdf["h"]):
-            codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
-            n = len(codes)
             with np.errstate(over="ignore"):
-                power = np.multiply.accumulate(np.full(n, _BASE, np.uint64))
-                part = np.concatenate([[np.uint64(0)], np.cumsum(codes * power, dtype=np.uint64)])
+                _, power, part = _hashed(line)
+                inverse = np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(power), _INVERSE, np.uint64)])
+                n = len(part) - 1
+                for longer in (0, 1):
+                    edge = _bounds(n - longer)
+                    k = len(edge) - 1
+                    stop = edge[1:] + longer  # a line one character longer has it inside the segment
+                    rest = (part[n] - part[stop]) * inverse[stop]
+                    key = _mix(_mix(part[edge[:-1]]) + rest) + np.arange(k, dtype=np.uint64) * _BASE + np.uint64(n - longer)
+                    held.append((_mix(key).view(np.int64), np.full(k, h, np.int64), np.full(k, longer, np.int32), np.arange(k, dtype=np.int32)))
+                    size += k
+            if size > 1 << 18:
+                yield _frame(held, ("key", "h", "longer", "segment"))
+                held, size = [], 0
+    if held:
+        yield _frame(held, ("key", "h", "longer", "segment"))
+
+
+def _variants(batches):
+    """(key, kind, h) for the variants inside a line's shared segments: kind 0 same place, 1 shortened line, 2 whole line."""
+    held, size = [], 0
+    for pdf in batches:
+        for line, h, own, longer in zip(pdf["line"], pdf["h"], pdf["own"], pdf["longer"]):
+            with np.errstate(over="ignore"):
+                _, _, part = _hashed(line)
+                n = len(part) - 1
                 cut = part[:-1] + (part[-1] - part[1:]) * _INVERSE
-                same = _mix(_mix(cut) + np.arange(n, dtype=np.uint64) * _BASE + np.uint64(n))
-                short = _mix(np.unique(cut) ^ np.uint64(n - 1 << 1 | 1))
-                whole = _mix(part[-1:] ^ np.uint64(n << 1 | 1))
-            key = np.concatenate([same, short, whole]).view(np.int64)
-            kind = np.repeat(np.array([0, 1, 2], np.int32), [n, len(short), 1])
-            held.append((key, kind, np.full(len(key), h, np.int64)))
-            size += len(key)
+                out = []
+                if len(own):
+                    edge = _bounds(n)
+                    at = np.concatenate([np.arange(edge[s], edge[s + 1]) for s in own])
+                    out.append((0, _mix(_mix(cut[at]) + at.astype(np.uint64) * _BASE + np.uint64(n))))
+                    out.append((2, _mix(part[-1:] ^ np.uint64(n << 1 | 1))))
+                if len(longer):
+                    edge = _bounds(n - 1)
+                    at = np.unique(np.concatenate([np.arange(edge[s], edge[s + 1] + 1) for s in longer]))
+                    out.append((1, _mix(np.unique(cut[at]) ^ np.uint64(n - 1 << 1 | 1))))
+            for kind, key in out:
+                held.append((key.view(np.int64), np.full(len(key), kind, np.int32), np.full(len(key), h, np.int64)))
+                size += len(key)
             if size > 1 << 18:
-                yield _frame(held)
+                yield _frame(held, ("key", "kind", "h"))
                 held, size = [], 0
     if held:
-        yield _frame(held)
+        yield _frame(held, ("key", "kind", "h"))
 
 
-def _frame(held: list) -> pd.DataFrame:
-    return pd.DataFrame(dict(zip(("key", "kind", "h"), map(np.concatenate, zip(*held)))))
+def _frame(held: list, names: tuple) -> pd.DataFrame:
+    return pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*held)))))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -103,7 +149,14 @@ def near_classes(lines: DataFrame, min_chars: int = 20) -> DataFrame:
     classes = settled(long.join(few, "h").groupBy("h", "g", "line")
                           .agg(F.min(F.struct("doc_id", "line_no")).alias("place")))
     slots = classes.sparkSession.sparkContext.defaultParallelism  # few lines make many rows: keep all cores
-    variants = classes.select("line", "h").repartition(2 * slots, "h").mapInPandas(_variants, "key long, kind int, h long")
+    dealt = classes.select("line", "h").repartition(2 * slots, "h")
+    segments = settled(dealt.mapInPandas(_segment_keys, "key long, h long, longer int, segment int"))
+    twice = segments.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a != b").select("key")
+    windows = segments.join(twice, "key").groupBy("h").agg(
+        F.array_sort(F.collect_set(F.when(F.col("longer") == 0, F.col("segment")))).alias("own"),
+        F.array_sort(F.collect_set(F.when(F.col("longer") == 1, F.col("segment")))).alias("longer"))
+    framed = classes.select("line", "h").join(windows, "h").select("line", "h", "own", "longer").repartition(2 * slots, "h")
+    variants = settled(framed.mapInPandas(_variants, "key long, kind int, h long"))
     met = settled(variants.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("a"), F.max("h").alias("b"))
                           .filter("a != b"))
     members = settled(variants.join(met.filter("n > 2").select("key"), "key"))
@@ -152,12 +205,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20) -> DataFrame:
     later = seen.join(repeated, ["h", "g"]).filter("doc_id != first_doc").select("doc_id", "h")
     near = seen.join(settled(near_classes(lines, min_chars)), ["h", "g"]).select("doc_id", "h")
     gone = later.union(near).groupBy("doc_id").agg(F.collect_set("h").alias("gone"))
-    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("gone").alias("_gone"))
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone_id"), "left")
-    text = F.pandas_udf(_rebuilt, "string")("text", "_gone")
-    kept = kept.withColumn("_text", F.when(F.col("doc_id").isNull(), F.col("text")).otherwise(text))
-    kept = kept.filter(F.col("text").isNull() | F.col("_text").isNotNull())
-    return kept.withColumn("text", F.col("_text")).select(*docs.columns)
+    gone_id, gone_lines, new_text = (fresh_name(docs, x) for x in ("gone_id", "gone_lines", "new_text"))
+    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("gone").alias(gone_lines))
+    kept = docs.join(gone, F.col("doc_id") == F.col(gone_id), "left")
+    text = F.pandas_udf(_rebuilt, "string")("text", gone_lines)
+    kept = kept.withColumn(new_text, F.when(F.col("doc_id").isNull(), F.col("text")).otherwise(text))
+    kept = kept.filter(F.col("text").isNull() | F.col(new_text).isNotNull())
+    return kept.withColumn("text", F.col(new_text)).select(*docs.columns)
 
 
 ORACLE_SQL = r"""

@@ -26,7 +26,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import settled
+from quarry.llm.common import fresh_name, settled
 
 # The kinds in output order and the exact patterns, written so that Java's
 # matcher starts once per run of characters and never backtracks over one.
@@ -216,12 +216,13 @@ def mask_pii(docs: DataFrame) -> DataFrame:
     merged = groups.groupBy("doc_id", "th", "group").agg(F.min(F.struct("start", "end", "kind")).alias("first"), F.max("end").alias("end"))
     merged = merged.withColumn("start", F.col("first.start")) \
                    .withColumn("from", F.coalesce(F.lag("end").over(doc.orderBy("start")), F.lit(0)))
+    spans, last, doc_key, text_key = (fresh_name(docs, x) for x in ("spans", "last_end", "doc_key", "text_key"))
     per_doc = merged.groupBy("doc_id", "th").agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", "from", F.col("first.kind").alias("kind")))).alias("_spans"),
-        F.max("end").alias("_last")).select(F.col("doc_id").alias("_d"), F.col("th").alias("_th"), "_spans", "_last")
-    cond = docs["doc_id"].eqNullSafe(F.col("_d")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_th"))
+        F.array_sort(F.collect_list(F.struct("start", "end", "from", F.col("first.kind").alias("kind")))).alias(spans),
+        F.max("end").alias(last)).select(F.col("doc_id").alias(doc_key), F.col("th").alias(text_key), spans, last)
+    cond = docs["doc_id"].eqNullSafe(F.col(doc_key)) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col(text_key))
     rows = docs.join(per_doc, cond, "left")
-    pieces = F.transform("_spans", lambda s: F.concat(
+    pieces = F.transform(spans, lambda s: F.concat(
         F.substring("text", (s["from"] + 1).cast("int"), (s["start"] - s["from"]).cast("int")), F.lit("["), F.upper(s["kind"]), F.lit("]")))
-    text = F.concat(F.array_join(pieces, ""), F.substring(F.col("text"), (F.col("_last") + 1).cast("int"), F.char_length("text")))
-    return rows.withColumn("text", F.when(F.col("_last").isNull(), F.col("text")).otherwise(text)).select(*docs.columns)
+    text = F.concat(F.array_join(pieces, ""), F.substring(F.col("text"), (F.col(last) + 1).cast("int"), F.char_length("text")))
+    return rows.withColumn("text", F.when(F.col(last).isNull(), F.col("text")).otherwise(text)).select(*docs.columns)

@@ -69,3 +69,41 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     assert sorted((str(r.doc_id), str(r.text)) for r in out.collect()) == [
         ("4", "same line here"), ("4", "same line here"), ("None", "None"), ("None", "same line here\nsame line here")]
     assert dedup_lines(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_helper_names_may_clash(spark):
+    names = ["gone_id", "gone_lines", "new_text", "_gone", "_text", "GONE", "key", "own"]
+    schema = "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)
+    rows = [(1, "a line of twenty letters\nother", *"abcdefgh"), (2, "a line of twenty letters\nsome more", *"ijklmnop")]
+    out = dedup_lines(spark.createDataFrame(rows, schema)).orderBy("doc_id").collect()
+    assert [tuple(r) for r in out] == [rows[0], (2, "some more", *"ijklmnop")]
+
+
+def test_group_of_near_copies_emits_few_rows():
+    """2,000 lines that share a half and differ by a word: rows in proportion to segments, and no pair lost."""
+    import pandas as pd
+
+    from quarry.llm import line_dedup as L
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(7)) for _ in range(60)]
+    lines = set()
+    while len(lines) < 2000:
+        w = words[:]
+        w[rnd.randrange(30, 60)] = "".join(rnd.choice("ijklmnop") for _ in range(7))
+        lines.add(" ".join(w))
+    lines = sorted(lines)
+    lines += [edited(rnd, lines[i]) for i in range(0, 2000, 100)]
+    pdf = pd.DataFrame({"line": lines, "h": range(len(lines))})
+    keys = pd.concat(L._segment_keys([pdf]))
+    assert len(keys) <= len(lines) * 2 * (480 // L.SEGMENT + 2)
+    both = keys.groupby("key").h.nunique()
+    keys = keys[keys.key.isin(both[both > 1].index)]
+    pick = lambda longer: [sorted(set(keys.segment[(keys.h == h) & (keys.longer == longer)])) for h in range(len(lines))]
+    variants = pd.concat(L._variants([pdf.assign(own=pick(0), longer=pick(1))]))
+    assert len(variants) <= len(lines) * 3 * L.SEGMENT  # 2 x 480 a line before
+    met = set()
+    for _, g in variants.groupby("key"):
+        met |= {(min(a, b), max(a, b)) for a in g.h for b in g.h if a != b and len(g) < 50}
+    for i in range(0, 2000, 100):
+        if close(lines[i], lines[2000 + i // 100]) and lines[i] != lines[2000 + i // 100]:
+            assert (i, 2000 + i // 100) in met

@@ -73,3 +73,12 @@ def test_em_trusts_labelers_that_agree():
               {"kind": "phone", "n": 5, "v0": 0, "v1": 0, "v2": 1, "v3": -1, "v4": -1}]
     p = pii.reliabilities(counts)
     assert p["phone:0,1,1,0,1"] > 0.9 and p["phone:0,0,0,-1,-1"] < 0.1
+
+
+def test_mask_helper_names_may_clash(spark):
+    from quarry.llm.pii import mask_pii
+    names = ["spans", "last_end", "doc_key", "text_key", "_spans", "_last", "_d", "_th"]
+    schema = "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)
+    rows = [(1, "write to ann@example.org now", *"abcdefgh"), (2, None, *"ijklmnop")]
+    out = mask_pii(spark.createDataFrame(rows, schema)).orderBy("doc_id").collect()
+    assert [tuple(r) for r in out] == [(1, "write to [EMAIL] now", *"abcdefgh"), rows[1]]
