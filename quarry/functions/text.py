@@ -241,11 +241,10 @@ def clean_generated(col) -> Column:
     t = F.regexp_replace(t, rf"[{pt.UNI_WS}]+", " ")
     t = py_strip(t)
     # Capitalise the first character and the first lower-case ASCII letter
-    # after [.!?] + whitespace: mark each spot, split on the mark, upper-case
-    # each piece's head.  Every step reads the previous one once, so the
+    # after [.!?] + blank: cut before each such letter, upper-case each
+    # piece's head.  Every step reads the previous one once, so the
     # expression tree does not duplicate the substitution chain.
-    marked = F.concat(F.lit("\u0000"), F.regexp_replace(t, rf"([.!?][{pt.UNI_WS}]+)([a-z])", "$1\u0000$2"))
-    pieces = F.split(marked, "\u0000", -1)
+    pieces = F.split(t, "(?<=[.!?] )(?=[a-z])", -1)
     t = F.array_join(F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)),
                                                             F.substring(p, 2, 1 << 30))), "")
     # end with '.' unless empty or already ending in . ! ?

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import _c
@@ -47,20 +47,20 @@ def softmax(logits) -> Column:
         lambda s: F.transform(v, lambda x: F.exp(x - m) / s))))
 
 
-def top_p_keep(probs, top_p: float) -> Column:
-    """Indices kept by nucleus selection, in descending probability.
+def nucleus(rows: DataFrame, probs: str, top_p: float, keys: list[str]) -> DataFrame:
+    """The entries that nucleus selection keeps, one row each: keys, rank (from 1), i, p, share.
 
-    Sorted descending (ties by index); keep while cumsum - p <= top_p.
-    Prefix sums come from one left fold, so no array is re-read per element.
+    Sorted by falling probability, ties by index; kept while cumsum - p <=
+    top_p; ``share`` is p renormalised over the kept entries.  Prefix sums are
+    windows over the exploded entries of a row (at most the vocabulary), linear
+    in its width.
     """
-    ranked = F.sort_array(F.transform(_c(probs), lambda p, i: F.struct((-p).alias("neg"), i.alias("i"))))
-    z = F.aggregate(
-        ranked, F.array().cast("array<struct<p:double,c:double,i:int>>"),
-        lambda acc, s: F.concat(acc, F.array(F.struct(
-            (-s["neg"]).alias("p"),
-            (F.coalesce(F.try_element_at(acc, F.lit(-1))["c"], F.lit(0.0)) - s["neg"]).alias("c"),
-            s["i"].alias("i")))))
-    return F.transform(F.filter(z, lambda e: e["c"] - e["p"] <= top_p), lambda e: e["i"])
+    entries = rows.select(*keys, F.posexplode(probs).alias("i", "p"))
+    order = Window.partitionBy(*keys).orderBy(F.desc("p"), "i")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kept = (entries.withColumns({"rank": F.row_number().over(order), "upto": F.sum("p").over(upto)})
+                   .filter(F.col("upto") - F.col("p") <= top_p).drop("upto"))
+    return kept.withColumn("share", F.col("p") / F.sum("p").over(Window.partitionBy(*keys)))
 
 
 def _first_triple_end(s: Column, n: int) -> Column:

@@ -116,36 +116,66 @@ def random_windows(flat: DataFrame, n_total: int, batch_size: int, seq_len: int,
     return g.select("k", "start", F.slice(ids, 1, L).alias("x"), F.slice(ids, 2, L).alias("y"))
 
 
-def doc_random_windows(tokens: DataFrame, batch_size: int, seq_len: int, seed: int = 0,
-                       key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """W2 ``get_batch`` from per-document arrays (no per-token rows).
-
-    Each document emits one row per block of ``seq_len`` positions it
-    covers; the ``batch_size`` starts (a bounded parameter, broadcast) pick
-    the blocks they need, and each window concatenates its slices in stream
-    order.  Same output as :func:`random_windows`.
+def windows_at(tokens: DataFrame, offsets: DataFrame, starts: DataFrame, seq_len: int,
+               key: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """The windows that begin at ``start`` in the stream: all columns of ``starts``, x = [s, s+L), y = [s+1, s+L].
+
+    Per-document arrays, no per-token rows: each document emits one row per
+    block of ``seq_len`` positions it covers; the start list (a bounded
+    parameter of the caller, broadcast) picks the blocks it needs, and each
+    window concatenates its slices in stream order.  ``offsets`` is
+    :func:`doc_offsets` of the tokens.
     """
-    spark = tokens.sparkSession
     L = seq_len
-    off = doc_offsets(tokens, key, ids)
-    n_total = off.agg(F.sum("n")).first()[0] or 0
-    if n_total - L <= 0:
-        raise ValueError("token stream shorter than a window")
-    starts = spark.range(batch_size).select(
-        F.col("id").alias("k"), F.pmod(md5_uniform(seed, F.col("id")), F.lit(n_total - L)).alias("start"))
-    wants = starts.select("k", "start", F.explode(F.array_distinct(F.array(
+    names = starts.columns
+    wants = starts.select("*", F.explode(F.array_distinct(F.array(
         F.floor(F.col("start") / L), F.floor((F.col("start") + L) / L)))).alias("blk"))
-    t = tokens.select(key, ids).join(off, key).filter(F.col("n") > 0)
+    t = tokens.select(key, ids).join(offsets, key).filter(F.col("n") > 0)
     o, n = F.col("offset"), F.col("n")
     t = t.select(ids, "offset", "n", F.explode(F.sequence(F.floor(o / L), F.floor((o + n - 1) / L))).alias("blk"))
     j = t.join(F.broadcast(wants), "blk")
     lo = F.greatest(F.col("start"), o, F.col("blk") * L)
     hi = F.least(F.col("start") + L, o + n - 1, F.col("blk") * L + L - 1)
-    j = j.filter(lo <= hi).select("k", "start", F.struct(lo.alias("lo"), F.slice(
+    j = j.filter(lo <= hi).select(*names, F.struct(lo.alias("lo"), F.slice(
         ids, (lo - o + 1).cast("int"), (hi - lo + 1).cast("int")).alias("p")).alias("s"))
-    g = j.groupBy("k", "start").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    g = j.groupBy(*names).agg(F.array_sort(F.collect_list("s")).alias("s"))
     flat = F.flatten(F.transform("s", lambda x: x["p"]))
-    return g.select("k", "start", F.slice(flat, 1, L).alias("x"), F.slice(flat, 2, L).alias("y"))
+    return g.select(*names, F.slice(flat, 1, L).alias("x"), F.slice(flat, 2, L).alias("y"))
+
+
+def doc_random_windows(tokens: DataFrame, batch_size: int, seq_len: int, seed: int = 0,
+                       key: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """W2 ``get_batch`` from per-document arrays.  Same output as :func:`random_windows`."""
+    off = doc_offsets(tokens, key, ids)
+    n_total = off.agg(F.sum("n")).first()[0] or 0
+    if n_total - seq_len <= 0:
+        raise ValueError("token stream shorter than a window")
+    starts = tokens.sparkSession.range(batch_size).select(
+        F.col("id").alias("k"), F.pmod(md5_uniform(seed, F.col("id")), F.lit(n_total - seq_len)).alias("start"))
+    return windows_at(tokens, off, starts, seq_len, key, ids)
+
+
+def rank_batches(tokens: DataFrame, world_size: int, batch_size: int, seq_len: int, seed: int = 42, epoch: int = 0,
+                 key: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """W3 every rank's batch of an epoch: rank, k, start, x, y.
+
+    Rank r owns the positions from r * floor(n / W) on, the last rank the
+    remainder too; its starts are drawn from its own shard under the seed
+    ``seed + r + 1000 * epoch``.  A shard without room for a window is an error.
+    The start list has ``world_size * batch_size`` rows.
+    """
+    off = doc_offsets(tokens, key, ids)
+    n_total = off.agg(F.sum("n")).first()[0] or 0
+    per = n_total // world_size
+    if per - seq_len <= 0:
+        raise ValueError("data shard too small for the sequence length")
+    last = n_total - per * (world_size - 1)
+    slots = tokens.sparkSession.range(world_size * batch_size).select(
+        F.floor(F.col("id") / batch_size).cast("int").alias("rank"), (F.col("id") % batch_size).alias("k"))
+    room = F.when(F.col("rank") == world_size - 1, F.lit(last)).otherwise(F.lit(per)) - seq_len
+    draw = md5_uniform("", F.concat((F.col("rank") + seed + 1000 * epoch).cast("string"), F.lit(":"), F.col("k").cast("string")))
+    starts = slots.withColumn("start", F.col("rank").cast("bigint") * per + F.pmod(draw, room))
+    return windows_at(tokens, off, starts, seq_len, key, ids)
 
 
 def shard_summary(tokens: DataFrame, world_size: int, key: str = "doc_id", ids: str = "ids") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quarry.functions import text as T
 from quarry.operators import pii, quality
 from quarry.plans import sqltext as S
+from quarry.session import reliable_checkpoint
 from quarry.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -301,7 +302,7 @@ GROUP BY w""")
 def q_token_windows(spark, sf):
     from quarry.operators.windows import doc_windows
     _, _, tok = _byte_tokens(spark, sf, sentinel=True)
-    return doc_windows(tok.persist(), 128)
+    return doc_windows(reliable_checkpoint(tok), 128)
 
 
 @register("random_windows", f"""
@@ -315,7 +316,7 @@ GROUP BY s.k, s.start""")
 def q_random_windows(spark, sf):
     from quarry.operators.windows import doc_random_windows
     _, _, tok = _byte_tokens(spark, sf, sentinel=True)
-    return doc_random_windows(tok.persist(), 64, 128, seed=7)
+    return doc_random_windows(reliable_checkpoint(tok), 64, 128, seed=7)
 
 
 @register("rank_shards", f"""
@@ -326,7 +327,27 @@ FROM f, n GROUP BY 1""")
 def q_rank_shards(spark, sf):
     from quarry.operators.windows import shard_summary
     _, _, tok = _byte_tokens(spark, sf, sentinel=True)
-    return shard_summary(tok.persist(), 8)
+    return shard_summary(reliable_checkpoint(tok), 8)
+
+
+
+_RANKS, _BATCH, _WIDTH, _EPOCH = 4, 8, 64, 2
+
+
+@register("rank_batches", f"""
+WITH f AS {_FLAT_SQL}, n AS (SELECT count(*) AS n, count(*) // {_RANKS} AS per FROM f),
+s AS (SELECT rank::INTEGER AS rank, k, rank * n.per + ('0x' || substr(md5(':' || (42 + rank + 1000 * {_EPOCH})::VARCHAR || ':' || k::VARCHAR), 1, 15))::BIGINT
+             % (CASE WHEN rank = {_RANKS - 1} THEN n.n - n.per * {_RANKS - 1} ELSE n.per END - {_WIDTH}) AS start
+      FROM range(0, {_RANKS}) r(rank), range(0, {_BATCH}) b(k), n)
+SELECT s.rank, s.k, s.start, list(f.id ORDER BY f.pos) FILTER (WHERE f.pos < s.start + {_WIDTH}) AS x,
+       list(f.id ORDER BY f.pos) FILTER (WHERE f.pos > s.start) AS y
+FROM s JOIN f ON f.pos BETWEEN s.start AND s.start + {_WIDTH} GROUP BY ALL""")
+def q_rank_batches(spark, sf):
+    """Every rank's seeded batch of an epoch from its own shard."""
+    from quarry.operators.windows import rank_batches
+    _, _, tok = _byte_tokens(spark, sf, sentinel=True)
+    return rank_batches(reliable_checkpoint(tok), _RANKS, _BATCH, _WIDTH, seed=42, epoch=_EPOCH)
+
 
 from quarry.plans import catalog_text  # noqa: E402,F401  (registers more queries)
 
@@ -364,31 +385,24 @@ SELECT k.slot, k.dataset, x.window_id, x.x FROM k JOIN n USING (dataset)
 JOIN x ON x.dataset = k.dataset AND x.window_id = k.k % n.nw""")
 def q_mix_datasets(spark, sf):
     from quarry.operators.tokenizer import utf8_bytes
-    from quarry.operators.windows import mix_slots
+    from quarry.operators.windows import doc_offsets, mix_slots, windows_at
     from pyspark.sql import Window
     d = tables.documents(spark, sf).select("doc_id", "lang", "text")
     ids = F.concat(utf8_bytes("text"), F.array(F.lit(10), F.lit(256), F.lit(10)))
-    parts = []
-    for ds, cond in ((0, F.col("lang") == "en"), (1, F.col("lang") != "en")):
-        tok = d.filter(cond).select("doc_id", ids.alias("ids"))
-        # x = the L tokens of window w (stride L); only full windows are drawn
-        from quarry.operators.windows import flat_tokens
-        flat = flat_tokens(tok)
-        win = (flat.groupBy(F.floor(F.col("pos") / _MIX_L).alias("window_id"))
-                   .agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("s"))
-                   .select("window_id", F.transform("s", lambda e: e["id"]).alias("x"))
-                   .filter(F.size("x") == _MIX_L)
-                   .withColumn("dataset", F.lit(ds)))
-        parts.append(win)
-    windows = parts[0].unionByName(parts[1]).persist()
-    counts = windows.groupBy("dataset").agg(F.count(F.lit(1)).alias("nw"))
     slots = mix_slots(_MIX_SLOTS, list(_MIX_W), 2, seed=3, spark=spark)
     # the slot table has _MIX_SLOTS rows (a parameter), so this window is bounded
     k = slots.withColumn("k", F.row_number().over(Window.partitionBy("dataset").orderBy("slot")) - 1)
-    k = k.join(F.broadcast(counts), "dataset").withColumn("window_id", F.col("k") % F.col("nw"))
-    return (k.join(windows, ["dataset", "window_id"])
-             .select("slot", F.col("dataset").cast("int").alias("dataset"),
-                     F.col("window_id").cast("bigint").alias("window_id"), "x"))
+    parts = []
+    for ds, cond in ((0, F.col("lang") == "en"), (1, F.col("lang") != "en")):
+        # a slot takes its dataset's next full window of L tokens, around again after the last; only these are built
+        tok = d.filter(cond).select("doc_id", ids.alias("ids"))
+        off = doc_offsets(tok)
+        full = (off.agg(F.sum("n")).first()[0] or 0) // _MIX_L
+        mine = k.filter(F.col("dataset") == ds).select(
+            "slot", (F.col("k") % F.lit(full)).cast("bigint").alias("window_id")) if full else k.limit(0).select("slot", F.col("k").alias("window_id"))
+        starts = mine.withColumn("start", F.col("window_id") * _MIX_L)
+        parts.append(windows_at(tok, off, starts, _MIX_L).select("slot", F.lit(ds).alias("dataset"), "window_id", "x"))
+    return parts[0].unionByName(parts[1])
 
 
 @register("vocab_longest", f"""

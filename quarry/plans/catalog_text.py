@@ -227,9 +227,24 @@ c AS (SELECT vec_id, i, pr, sum(pr) OVER (PARTITION BY vec_id ORDER BY pr DESC,
                                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs FROM e)
 SELECT vec_id, count(*)::BIGINT AS n_kept FROM c WHERE cs - pr <= 0.9 GROUP BY vec_id""")
 def q_top_p_mass(spark, sf):
-    from quarry.operators.scoring import softmax, top_p_keep
+    from quarry.operators.scoring import nucleus, softmax
     e = tables.embeddings(spark, sf).select("vec_id", softmax("embedding").alias("p"))
-    return e.select("vec_id", F.size(top_p_keep(F.col("p"), 0.9)).cast("bigint").alias("n_kept"))
+    return nucleus(e, "p", 0.9, ["vec_id"]).groupBy("vec_id").agg(F.count(F.lit(1)).alias("n_kept"))
+
+
+@register("top_p_nucleus", f"""
+WITH p AS (SELECT vec_id, list_transform({_Z}, lambda x: exp(x - {_M}) / list_sum(list_transform({_Z}, lambda y: exp(y - {_M})))) AS p
+           FROM embeddings),
+e AS (SELECT vec_id, unnest(range(len(p))) AS i, unnest(p) AS pr FROM p),
+c AS (SELECT vec_id, i, pr, row_number() OVER (PARTITION BY vec_id ORDER BY pr DESC, i) AS rank,
+             sum(pr) OVER (PARTITION BY vec_id ORDER BY pr DESC, i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs FROM e)
+SELECT vec_id, rank::INTEGER AS rank, i::INTEGER AS i, round(pr / sum(pr) OVER (PARTITION BY vec_id), 6) AS share
+FROM c WHERE cs - pr <= 0.9""")
+def q_top_p_nucleus(spark, sf):
+    """Kept entries with their renormalised probabilities."""
+    from quarry.operators.scoring import nucleus, softmax
+    e = tables.embeddings(spark, sf).select("vec_id", softmax("embedding").alias("p"))
+    return nucleus(e, "p", 0.9, ["vec_id"]).select("vec_id", "rank", "i", F.round("share", 6).alias("share"))
 
 
 # ---------------------------------------------------------------------------
@@ -400,7 +415,7 @@ c AS (SELECT vec_id, i, pr, sum(pr) OVER (PARTITION BY vec_id ORDER BY pr DESC,
                                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs FROM e)
 SELECT vec_id, count(*)::BIGINT AS n_kept, min(i)::INTEGER AS min_id FROM c WHERE cs - pr <= 0.9 GROUP BY vec_id""")
 def q_top_p_masked(spark, sf):
-    from quarry.operators.scoring import masked_logits, softmax, top_p_keep
+    from quarry.operators.scoring import masked_logits, nucleus, softmax
     e = tables.embeddings(spark, sf).select("vec_id", masked_logits("embedding", 0.8, banned=[0, 1]).alias("z"))
-    e = e.select("vec_id", softmax("z").alias("p")).select("vec_id", top_p_keep(F.col("p"), 0.9).alias("k"))
-    return e.select("vec_id", F.size("k").cast("bigint").alias("n_kept"), F.array_min("k").cast("int").alias("min_id"))
+    kept = nucleus(e.select("vec_id", softmax("z").alias("p")), "p", 0.9, ["vec_id"])
+    return kept.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n_kept"), F.min("i").alias("min_id"))

@@ -44,21 +44,43 @@ def read_wiki_xml(spark: SparkSession, path: str) -> DataFrame:
                      F.coalesce(text.cast("string"), F.lit("")).alias("text"))
 
 
+def _file_names(spark: SparkSession, path: str) -> list[str]:
+    """Files of a path in scan order; names only, no content is read."""
+    files = spark.read.format("binaryFile").load(path).select("path")
+    return [r["path"] for r in files.orderBy("path").collect()]
+
+
 def read_news(spark: SparkSession, path: str, limit: int | None = None, fmt: str = "json") -> DataFrame:
-    """documents' ``text`` with their scan order; with ``limit`` the first so many (O2 cap)."""
+    """documents' ``text`` with their scan order; with ``limit`` the first so many (O2 cap).
+
+    A cap reads files in scan order, one, then two, four, eight more, until
+    they hold enough rows; files after that are not opened.
+    """
     from quarry.operators.sampling import first_n
-    df = spark.read.schema("text string").format(fmt).load(path).select("text", scan_order().alias("ord"))
-    return df if limit is None else first_n(df, "ord", limit)
+
+    def load(where):
+        return spark.read.schema("text string").format(fmt).load(where).select("text", scan_order().alias("ord"))
+
+    if limit is None:
+        return load(path)
+    names, taken, found = _file_names(spark, path), 0, 0
+    while taken < len(names) and found < limit:
+        more = names[taken:taken + max(1, taken)]
+        found += load(more).count()
+        taken += len(more)
+    return first_n(load(names[:taken]), "ord", limit) if taken else load(path).limit(0)
 
 
 def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file; ``doc_id`` is the file's ordinal in sorted path order.
 
-    The ordinal comes from a ranked table of file paths (one row per file)."""
+    Files of no bytes give no row (Spark's scans pass them over) and take no ordinal.
+    Names alone are ranked (one row per file); the texts stay where they are read."""
     from quarry.operators.sampling import global_rank
     df = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"),
                                                       F.col("value").alias("text"))
-    return global_rank(df, "path").withColumnRenamed("_rank", "doc_id")
+    ranks = global_rank(df.select("path"), "path").select("path", F.col("_rank").alias("doc_id"))
+    return df.join(ranks, "path").select("path", "text", "doc_id")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -81,21 +103,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def read_dialog_splits(spark: SparkSession, candidates: list[str],
-                       splits=("train", "validation", "test"),
-                       file_pattern: str = "{base}/{split}/dialogues_{split}.txt") -> DataFrame:
-    """First existing base folder wins; a missing split yields no rows.
+# Where a split's file may lie below the base folder, in the order they are tried.
+DIALOG_LAYOUTS = ("{split}/dialogues.txt", "{split}/dialogues_{split}.txt", "dialogues_{split}.txt")
+
+
+def read_dialog_splits(spark: SparkSession, candidates: list[str], splits=("train", "validation", "test"),
+                       layouts=DIALOG_LAYOUTS) -> DataFrame:
+    """First existing base folder wins, then each split's first existing layout; a missing split yields no rows.
 
     Output (split, line); format with ``dialog_from_line`` (P18)."""
     base = next((c for c in candidates if _exists(spark, c)), None)
-    empty = spark.createDataFrame([], "split string, line string")
-    if base is None:
-        return empty
-    out = empty
-    for s in splits:
-        p = file_pattern.format(base=base, split=s)
-        if _exists(spark, p):
-            out = out.unionByName(spark.read.text(p).select(F.lit(s).alias("split"), F.col("value").alias("line")))
+    out = spark.createDataFrame([], "split string, line string")
+    for s in splits if base is not None else ():
+        places = [f"{base.rstrip('/')}/{layout.format(split=s)}" for layout in layouts]
+        found = next((p for p in places if _exists(spark, p)), None)
+        if found:
+            out = out.unionByName(spark.read.text(found).select(F.lit(s).alias("split"), F.col("value").alias("line")))
     return out
 
 
