@@ -7,6 +7,7 @@ stage changes it.
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 import public_tokenizers
@@ -22,6 +23,19 @@ from quarry.llm.toxicity import drop_toxic
 from quarry.session import checkpoint_dir
 
 
+#: Documents that cross to a Python worker together: with texts of some KB each, a few MB a batch.
+BATCH_ROWS = 2_500
+
+
+def _in_small_batches(stage):
+    """The stage, with Arrow batches of at most BATCH_ROWS rows (a session setting), so workers stay small."""
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+    return run
+
+
 def _counted(docs: DataFrame) -> DataFrame:
     if "n_chars" not in docs.columns:
         return docs
@@ -54,7 +68,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("simhash_dedup", near_copies), ("pii", pii), ("packing", packing)]
+STAGES = [(name, _in_small_batches(stage)) for name, stage in (
+    ("toxicity", toxicity), ("line_dedup", line_dedup), ("simhash_dedup", near_copies), ("pii", pii), ("packing", packing))]
 #: Iterative fits and tokenization: not expressible in SQL, tested against brute force.
 ORACLE_SQL = None
 
