@@ -72,7 +72,7 @@ class Model:
         self.codes = np.zeros((len(names), self.longest), np.uint32)
         for row, p in enumerate(names):
             self.codes[row, :len(p)] = [ord(c) for c in p]
-        self.known, self.built = {}, {}
+        self.known, self.older, self.built = {}, {}, {}
         self.pairs, self.fits = np.array([-1]), np.array([False])
 
     def steps(self, piece: str) -> list:
@@ -242,9 +242,16 @@ class Model:
         return path
 
     def learn(self, words: set) -> None:
-        """Encodes every word not met before, in slices of bounded size."""
+        """Encodes every word not met before, in slices of bounded size.
+
+        Known words are held in two generations of about _CACHE words: a full
+        one becomes the older one, and what is met again moves on from there,
+        so words that recur stay known and words met once go.
+        """
         if len(self.known) > _CACHE:
-            self.known = {w: self.known[w] for w in words if w in self.known}
+            self.known, self.older = {}, self.known
+        for w in (words - self.known.keys()) & self.older.keys():
+            self.known[w] = self.older[w]
         if len(self.pairs) > 4 * _CACHE:
             self.pairs, self.fits = self.pairs[:1], self.fits[:1]
         part, size = [], 0

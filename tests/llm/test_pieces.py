@@ -35,3 +35,13 @@ def test_documents_equal_the_model(spark):
     back = P.decode(P.encode(spark.createDataFrame(rows[:5], "doc_id long, text string, ids string"), PATH), PATH)
     assert {r.doc_id: r.text for r in back.collect()} == dict(enumerate(texts[:5]))
     assert P.round_trip(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_ids_do_not_depend_on_what_is_remembered(monkeypatch):
+    """Generations of three words: words that come back are encoded as the first time."""
+    monkeypatch.setattr(P, "_CACHE", 3)
+    model = P.Model(PATH)
+    texts = ["the cat sat on the mat", "on the straße", "", "a b c d e f g", "the mat sat", "cat über 日本語", "a cat"] * 3
+    got = [np.frombuffer(b, "<i4").tolist() for t in texts for b in model.encode([t])]
+    assert got == [SP.encode(t) for t in texts]
+    assert len(model.known) + len(model.older) <= 2 * (3 + 8)
