@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 MARK = "▁"
 _SEPARATOR = 0x110000
 _SLICE, _CACHE, _DOCS = 1 << 18, 400_000, 1 << 21
+_PAIRS = 21  # bits of the table of pairs met last
 _LEVELS = 64  # positions of a word that are relaxed in all words at once
 _UNREACHED, _LOW, NEVER = -(1 << 40), (1 << 32) - 1, float("-inf")
 _LOADED: dict = {}
@@ -69,11 +70,14 @@ class Model:
         self.ids = np.array([self.id[p] for p in names], np.int64)
         self.size = np.array([len(p) for p in names])
         self.longest = int(self.size.max())
-        self.codes = np.zeros((len(names), self.longest), np.uint32)
+        codes = np.zeros((len(names), 3 * -(-self.longest // 3)), np.int64)
         for row, p in enumerate(names):
-            self.codes[row, :len(p)] = [ord(c) for c in p]
+            codes[row, :len(p)] = [ord(c) for c in p]
+        self.chunks = (codes[:, 0::3] << 42) | (codes[:, 1::3] << 21) | codes[:, 2::3]
+        self.spelled = pa.array(self.out, pa.large_binary())
         self.known, self.older, self.built = {}, {}, {}
-        self.pairs, self.fits = np.array([-1]), np.array([False])
+        self.pairs, self.fits = np.full(1 << _PAIRS, -1), np.zeros(1 << _PAIRS, bool)
+        self.judged = {}
 
     def steps(self, piece: str) -> list:
         """(score of the next merge, first part, last part) while a piece is merged from its characters.
@@ -119,23 +123,27 @@ class Model:
                 j += 1
 
     def fitting(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
-        """``compatible`` of many pairs, by a sorted table of the pairs met so far."""
+        """``compatible`` of many pairs: a table holds the last pair of each slot, a dictionary all pairs judged."""
         keys = (np.maximum(before, -1) + 1 << 32) | np.maximum(piece, -1) + 1
-        for _ in range(2):
-            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-            new = np.unique(keys[self.pairs[at] != keys])
-            if not len(new):
-                break
-            found = [not k & _LOW or self.compatible((k >> 32) - 1, (k & _LOW) - 1) for k in new.tolist()]
-            pairs = np.concatenate([self.pairs, new])
-            by = np.argsort(pairs, kind="stable")
-            self.pairs, self.fits = pairs[by], np.concatenate([self.fits, found])[by]
-        return self.fits[at]
-
-    def _suffixes(self, text: np.ndarray) -> np.ndarray:
+        at = (keys * 0x9E3779B97F4A7C1).view(np.uint64) >> np.uint64(64 - _PAIRS)
+        out, missed = self.fits[at], np.flatnonzero(self.pairs[at] != keys)
+        if len(missed):
+            new, back = np.unique(keys[missed], return_inverse=True)
+            found = np.array([self._judge(k) for k in new.tolist()])[back]
+            out[missed] = found
+            slots, first = np.unique(at[missed], return_index=True)
+            self.pairs[slots], self.fits[slots] = keys[missed[first]], found[first]
+        return out
+
+    def _judge(self, key: int) -> bool:
+        ok = self.judged.get(key)
+        if ok is None:
+            ok = self.judged[key] = not key & _LOW or self.compatible((key >> 32) - 1, (key & _LOW) - 1)
+        return ok
+
+    def _suffixes(self, chunk: np.ndarray) -> np.ndarray:
         """Positions sorted by their first ``longest`` characters: three at once, then by prefix doubling."""
-        c = np.concatenate([text, [0, 0]]).astype(np.int64)
-        _, rank = np.unique((c[:-2] << 42) | (c[1:-1] << 21) | c[2:], return_inverse=True)
+        _, rank = np.unique(chunk, return_inverse=True)
         step = 3
         while step < self.longest:
             after = np.concatenate([rank[step:] + 1, np.zeros(min(step, len(rank)), np.int64)])[:len(rank)]
@@ -143,20 +151,31 @@ class Model:
             step *= 2
         return np.argsort(rank, kind="stable")
 
-    def _range(self, padded: np.ndarray, order: np.ndarray, upper: bool) -> np.ndarray:
-        """First place in ``order`` whose suffix is not below (or, with upper, above) each piece."""
+    def _ranges(self, chunk: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Range of ``order`` whose suffixes start with each piece, by binary search for three characters at a time."""
+        chunk = np.concatenate([chunk, np.zeros(self.chunks.shape[1] * 3, np.int64)])
         lo, hi = np.zeros(len(self.ids), np.int64), np.full(len(self.ids), len(order))
-        span = np.arange(self.longest)
-        inside = span < self.size[:, None]
-        while (lo < hi).any():
-            mid = (lo + hi) // 2
-            here = padded[order[np.minimum(mid, len(order) - 1)][:, None] + span]
-            differ = (here != self.codes) & inside
-            first = differ.argmax(1)
-            row = np.arange(len(first))
-            below = differ[row, first] & (here[row, first] < self.codes[row, first])
-            right = (below | (~differ.any(1) & upper)) & (lo < hi)
-            lo, hi = np.where(right, mid + 1, lo), np.where(right | (lo >= hi), hi, mid)
+        for i in range(self.chunks.shape[1]):
+            rows = np.flatnonzero((self.size > 3 * i) & (lo < hi))
+            least = self.chunks[rows, i]
+            open_chars = np.maximum(3 * (i + 1) - self.size[rows], 0)
+            most = least | ((1 << 21 * open_chars) - 1)
+            if i == 0:
+                keys = chunk[order]
+                lo[rows], hi[rows] = np.searchsorted(keys, least), np.searchsorted(keys, most, "right")
+            else:
+                a, b = lo[rows], hi[rows]
+                lo[rows] = self._first(chunk, order, a, b, least, 3 * i)
+                hi[rows] = self._first(chunk, order, a, b, most + 1, 3 * i)
+        return lo, np.maximum(lo, hi)
+
+    @staticmethod
+    def _first(chunk: np.ndarray, order: np.ndarray, lo: np.ndarray, hi: np.ndarray, key: np.ndarray, offset: int) -> np.ndarray:
+        """First place of [lo, hi) whose three characters at ``offset`` are not below ``key``, else hi."""
+        while (open_ := lo < hi).any():
+            mid = (lo + hi) >> 1
+            below = open_ & (chunk[order[np.minimum(mid, len(order) - 1)] + offset] < key)
+            lo, hi = np.where(below, mid + 1, lo), np.where(open_ & ~below, mid, hi)
         return lo
 
     def _encode_slice(self, words: list) -> None:
@@ -165,9 +184,10 @@ class Model:
         close = np.cumsum(length + 1) - 1
         begin = close - length
         text[close] = _SEPARATOR
-        order = self._suffixes(text)
-        padded = np.concatenate([text, np.full(self.longest, _SEPARATOR + 1, np.uint32)])
-        lo, hi = self._range(padded, order, False), self._range(padded, order, True)
+        c = np.concatenate([text, [0, 0]]).astype(np.int64)
+        chunk = (c[:-2] << 42) | (c[1:-1] << 21) | c[2:]
+        order = self._suffixes(chunk)
+        lo, hi = self._ranges(chunk, order)
         n = hi - lo
         at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         start, piece, size = order[at], np.repeat(self.ids, n), np.repeat(self.size, n)
@@ -250,12 +270,17 @@ class Model:
         """
         if len(self.known) > _CACHE:
             self.known, self.older = {}, self.known
-        for w in (words - self.known.keys()) & self.older.keys():
-            self.known[w] = self.older[w]
-        if len(self.pairs) > 4 * _CACHE:
-            self.pairs, self.fits = self.pairs[:1], self.fits[:1]
+        known, older, fresh = self.known, self.older, []
+        for w in words:
+            if w not in known:
+                if w in older:
+                    known[w] = older[w]
+                else:
+                    fresh.append(w)
+        if len(self.judged) > 4 * _CACHE:
+            self.judged = {}
         part, size = [], 0
-        for w in sorted(words - self.known.keys()):
+        for w in sorted(fresh):
             part.append(w)
             size += len(w) + 1
             if size > _SLICE:
@@ -271,10 +296,17 @@ class Model:
         get = self.known.__getitem__
         return [b"".join(map(get, ws)) for ws in words]
 
-    def decode(self, ids: list) -> str:
-        """The text of a row of ids, without the blank put in front."""
-        text = b"".join([self.out[i] for i in ids]).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+    def decode(self, coded: list) -> list:
+        """The text of each row of ids (as bytes), without the blank put in front."""
+        ids = np.frombuffer(b"".join(coded), "<i4")
+        if len(ids) and not (0 <= ids.min() and ids.max() < len(self.out)):
+            raise ValueError("ids outside the model")
+        taken = self.spelled.take(pa.array(ids))
+        ends = np.cumsum([0] + [len(c) // 4 for c in coded])
+        at = np.frombuffer(taken.buffers()[1], np.int64)[ends].tolist() if len(ids) else [0] * len(ends)
+        whole = bytes(taken.buffers()[2]) if len(ids) else b""
+        texts = [whole[i:j].decode("utf-8", "replace") for i, j in zip(at, at[1:])]
+        return [t[1:] if t.startswith(" ") else t for t in texts]
 
 
 def load(path: str) -> Model:
@@ -307,8 +339,7 @@ def _coded(docs: DataFrame, model: str, check: bool) -> DataFrame:
                 coded = m.encode([t or "" for t in texts])
                 columns = [part.column("doc_id"), _ids(coded, [t is None for t in texts])]
                 if check:
-                    columns.append(pa.array([None if t is None else m.decode(np.frombuffer(c, "<i4").tolist()) == t.replace(MARK, " ")
-                                             for c, t in zip(coded, texts)], pa.bool_()))
+                    columns.append(pa.array([None if t is None else d == t.replace(MARK, " ") for d, t in zip(m.decode(coded), texts)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "same"][:len(columns)])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -325,7 +356,8 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
 
     def run(ids: pd.Series) -> pd.Series:
         m = load(model)
-        return pd.Series([None if i is None else m.decode(list(i)) for i in ids], dtype=object)
+        texts = m.decode([b"" if i is None else np.asarray(i, "<i4").tobytes() for i in ids])
+        return pd.Series([None if i is None else t for i, t in zip(ids, texts)], dtype=object)
 
     return rows.select("doc_id", F.pandas_udf(run, "string")("ids").alias("text"))
 
