@@ -19,7 +19,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("v", "u"))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
     return (both.filter("v > u").join(low, F.col("u") == F.col("k"))
-                .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct())
+                .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

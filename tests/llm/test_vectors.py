@@ -101,3 +101,41 @@ def test_rare_links_are_audited_and_a_failed_audit_compares_all(spark):
     got = {r.vec_id: r for r in near_duplicates(df, trees=1, leaf=2, k=1, most_rounds=1, sample=1, per_block=100).collect()}
     assert [got[i].n_links for i in range(400)] == want_links
     assert [got[i].component_id for i in range(400)] == want_root
+
+
+def test_audit_of_a_table_without_links_takes_a_bounded_number_of_jobs(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.llm import nn_descent
+
+    x = np.random.default_rng(10).standard_normal((20_000, 24))
+    nodes = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "gid long, x array<double>").repartition(4).cache()
+    none = spark.createDataFrame([], "u long, v long")
+    roots, wanted = spark.createDataFrame([], "node long, component long"), spark.createDataFrame([], "component long")
+    links = none.withColumn("s", F.lit(1.0))
+    sc = spark.sparkContext
+    nodes.count()
+    sc.setJobGroup("audit", "audit")
+    try:
+        assert nn_descent._audit(nodes, 20_000, links, roots, wanted, 0.9, 512, 128, 2048, 0) == 1.0
+        jobs = len(sc.statusTracker().getJobIdsForGroup("audit"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        nodes.unpersist()
+    assert 0 < jobs <= 40
+
+
+def test_saturated_lists_double_until_all_groups_are_joined(spark):
+    """More linked groups around one than a list has places: added places fill up and double."""
+    rng = np.random.default_rng(11)
+    dim, groups, size = 32, 9, 8
+    x = rng.standard_normal((120, dim))
+    for g in range(groups):  # 0.99 within a group, about 0.93 between any two groups
+        at = np.eye(dim)[0] + 0.27 * np.eye(dim)[g + 1]
+        x[size * g:size * g + size] = at + 0.012 * rng.standard_normal((size, dim))
+    want_links, want_root = brute(x)
+    assert set(want_root[:groups * size]) == {0} and min(want_links[:groups * size]) >= size * (groups - 1)
+    df = spark.createDataFrame([(i, [float(c) for c in v], "", 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, v string, n long")
+    got = {r.vec_id: r for r in near_duplicates(df, k=5, leaf=16).collect()}
+    assert [got[i].n_links for i in range(120)] == want_links
+    assert [got[i].component_id for i in range(120)] == want_root
