@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from quarry.functions import patterns as pt
 from quarry.functions import text as T
 
-# Broadcast the NB model only below this many (word, label) rows.
-NB_BROADCAST_ROWS = 2_000_000
+# Broadcast the NB model only below this many bytes (words and a number per label); Spark decides beyond.
+NB_BROADCAST_BYTES = 64 << 20
 
 
 def _doc_words(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -43,23 +43,23 @@ def nb_train(df: DataFrame, key: str = "doc_id", text: str = "text", label: str
     wc = words.groupBy("word", label).agg(F.count(F.lit(1)).alias("c"))
     class_tot = wc.groupBy(label).agg(F.sum("c").alias("tot"))
     vocab = wc.select("word").distinct()
-    v = vocab.count()
+    v, letters = vocab.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("word")), F.lit(0))).first()
     grid = vocab.select("word", F.explode(F.array(*[F.lit(x) for x in labels])).alias(label))
     logp = (grid.join(wc, ["word", label], "left").join(F.broadcast(class_tot), label)
                 .select("word", label,
                         F.log((F.coalesce(F.col("c"), F.lit(0)) + 1) / (F.col("tot") + F.lit(v))).alias("logp")))
-    return {"logp": logp, "prior": prior, "labels": labels, "label": label, "rows": v * len(labels)}
+    return {"logp": logp, "prior": prior, "labels": labels, "label": label, "bytes": (letters + 32 * v) * len(labels)}
 
 
 def nb_predict(df: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, pred, score): argmax class (ties to the smaller label), softmax prob.
 
     Words outside the training vocabulary are ignored.  The model is
-    broadcast only when its row count is below ``NB_BROADCAST_ROWS``.
+    broadcast only when it takes less than ``NB_BROADCAST_BYTES``.
     """
     label = model["label"]
     logp = model["logp"]
-    if model["rows"] <= NB_BROADCAST_ROWS:
+    if model["bytes"] <= NB_BROADCAST_BYTES:
         logp = F.broadcast(logp)
     dw = _doc_words(df, key, text)
     s = (dw.join(logp, "word").groupBy(key, label)

@@ -353,20 +353,21 @@ logp AS (SELECT g.word, g.label, ln((coalesce(wc.c, 0) + 1) / (tot.tot + v.v)) A
          FROM (SELECT w.word, labs.label FROM (SELECT DISTINCT word FROM wc) w CROSS JOIN labs) g
          LEFT JOIN wc ON wc.word = g.word AND wc.label = g.label JOIN tot ON tot.label = g.label CROSS JOIN v),
 prior AS (SELECT label, ln(count(*) / (SELECT count(*) FROM d)) AS lp FROM d GROUP BY 1),
-dw AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest({sw}) AS word FROM d) GROUP BY 1, 2),
+dw AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest({sw}) AS word FROM documents) GROUP BY 1, 2),
 s AS (SELECT doc_id, label, sum(n * logp) AS ll FROM dw JOIN logp USING (word) GROUP BY 1, 2),
 sc AS (SELECT d.doc_id, labs.label, coalesce(s.ll, 0) + prior.lp AS score
-       FROM d CROSS JOIN labs LEFT JOIN s ON s.doc_id = d.doc_id AND s.label = labs.label
+       FROM documents d CROSS JOIN labs LEFT JOIN s ON s.doc_id = d.doc_id AND s.label = labs.label
        JOIN prior ON prior.label = labs.label)
-SELECT doc_id, first(label ORDER BY score DESC, label) AS pred FROM sc GROUP BY doc_id"""
+SELECT doc_id, first(label ORDER BY score DESC, label) AS pred, round(1 / sum(exp(score - best)), 5) AS score
+FROM (SELECT *, max(score) OVER (PARTITION BY doc_id) AS best FROM sc) GROUP BY doc_id"""
 
 
 def _nb_query(spark, sf, label_col):
     from quarry.operators.classify import nb_predict, nb_train
     lab = tables.labels(spark, sf).select("doc_id", F.col(label_col).alias("label"))
-    d = lab.join(tables.documents(spark, sf).select("doc_id", "text"), "doc_id")
-    model = nb_train(d, label="label")
-    return nb_predict(d, model).select("doc_id", "pred")
+    docs = tables.documents(spark, sf).select("doc_id", "text")
+    model = nb_train(lab.join(docs, "doc_id"), label="label")
+    return nb_predict(docs, model).select("doc_id", "pred", F.round("score", 5).alias("score"))
 
 
 @register("nb_quality", _nb_sql("quality"))
@@ -381,6 +382,17 @@ def q_nb_toxicity(spark, sf):
     return _nb_query(spark, sf, "toxic")
 
 
+@register("lowrank_quality")
+def q_lowrank_quality(spark, sf):
+    """M5/M6: fitted on labelled documents outside the held-out quarter, every document scored."""
+    from quarry.operators import lowrank
+    docs = tables.documents(spark, sf).select("doc_id", "text")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 0
+    lab = tables.labels(spark, sf).filter(~held_out).select("doc_id", F.when(F.col("quality") == 1, "high_quality").otherwise("low_quality").alias("label"))
+    model = lowrank.train(lab.join(docs, "doc_id"))
+    return lowrank.predict(docs, model).withColumn("held_out", held_out)
+
+
 @register("lr_quality_metrics")
 def q_lr_quality_metrics(spark, sf):
     """M4 -> M5 -> M6 -> A12 with MLlib (rows-only: no SQL twin)."""
