@@ -51,12 +51,15 @@ class LowRankModel:
 
 def feature_buckets(text: str | Column, buckets: int) -> Column:
     """Buckets of a text's words and word bigrams, one for each occurrence."""
-    words = T.split_whitespace(text)
-    following = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
-    one = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    two = F.zip_with(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), following,
-                     lambda a, b: F.pmod(F.xxhash64(F.lit(2), a, b), F.lit(buckets)).cast("int"))
-    return F.coalesce(F.concat(one, two), F.array().cast("array<int>"))
+    def both(words: Column) -> Column:
+        pairs = F.greatest(F.size(words) - 1, F.lit(0))
+        one = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
+        two = F.zip_with(F.slice(words, F.lit(1), pairs), F.slice(words, F.lit(2), pairs),
+                         lambda a, b: F.pmod(F.xxhash64(F.lit(2), a, b), F.lit(buckets)).cast("int"))
+        return F.concat(one, two)
+
+    split_once = F.transform(F.array(T.split_whitespace(text)), both)  # the bound words are read six times
+    return F.coalesce(split_once[0], F.array().cast("array<int>"))
 
 
 def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,11 +118,11 @@ def _step(value: np.ndarray, grad: np.ndarray, state: list, turn: int, rate: flo
 
 
 def train(df: DataFrame, label: str = "label", text: str = "text", dim: int = 100, buckets: int = 1 << 16,
-          rounds: int = 40, rate: float = 0.3, least_gain: float = 1e-3, seed: int = 7) -> LowRankModel:
+          rounds: int = 40, rate: float = 0.3, least_gain: float = 1e-3, least_loss: float = 3e-3, seed: int = 7) -> LowRankModel:
     """Fits the classifier to (label, text) rows by whole-table gradients.
 
-    Stops after ``rounds``, or when five rounds together lower the loss by a
-    share of less than ``least_gain``.
+    Stops after ``rounds``, at a mean loss below ``least_loss``, or when five
+    rounds together lower the loss by a share of less than ``least_gain``.
     """
     known = df.filter(F.col(label).isNotNull())
     most = MOST_CELLS // buckets
@@ -136,7 +139,7 @@ def train(df: DataFrame, label: str = "label", text: str = "text", dim: int = 10
     for turn in range(1, rounds + 1):
         sums, loss = gradient_sums(rows, model.table)
         model.losses.append(loss / n)
-        if turn > 5 and model.losses[-6] - model.losses[-1] < least_gain * model.losses[-6]:
+        if model.losses[-1] < least_loss or turn > 5 and model.losses[-6] - model.losses[-1] < least_gain * model.losses[-6]:
             break
         to_layer = embedding.astype(np.float64).T @ sums / n
         to_embedding = (sums / n @ layer.T).astype(np.float32)
