@@ -10,7 +10,7 @@ from quarry.functions import text as T
 
 
 def mask_pii(df: DataFrame, text_col: str = "text",
-             email_pattern: str = pt.EMAIL_PATTERN,
+             email_pattern: str = pt.EMAIL_HEADS,
              phone_pattern: str = pt.PHONE_PATTERN,
              ip_pattern: str = pt.IP_PATTERN) -> DataFrame:
     """P10: each count is taken on the text masked by the previous step."""

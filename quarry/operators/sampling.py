@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
+from quarry.functions.plan import materialized
 from quarry.session import reliable_checkpoint
 
 
@@ -65,8 +66,7 @@ def balance_classes(df: DataFrame, label: str, order_col: str, pos=1, neg=0) ->
 def fasttext_lines(texts: DataFrame, label_col: str, text: str = "text",
                    min_words: int = 30, max_words: int = 300) -> DataFrame:
     """M4: P11 + P12, keep > min_words words, ``__label__X text`` lines (K3)."""
-    clean = T.first_words(T.collapse_whitespace(text), max_words)
-    df = texts.withColumn("_clean", clean)
-    df = df.filter(F.size(T.split_whitespace("_clean")) > min_words)
-    return df.withColumn("line", F.concat(F.lit("__label__"), F.col(label_col), F.lit(" "), F.col("_clean"))) \
-             .drop("_clean")
+    # behind a generator, so that the filter does not make the words a second time
+    df = materialized(texts.withColumn("_words", F.slice(T.split_whitespace(text), 1, max_words)))
+    line = F.concat(F.lit("__label__"), F.col(label_col), F.lit(" "), F.array_join("_words", " "))
+    return df.filter(F.size("_words") > min_words).withColumn("line", line).drop("_words")

@@ -20,9 +20,8 @@ def curation_summary(docs: DataFrame) -> DataFrame:
     window over the hash on that aggregate, whose groups hold at most one
     row per language, and a last aggregation reports per language.
     """
-    g = T.gopher_metrics("text")
-    d = docs.select("doc_id", "lang", "text",
-                    g["n_words"].alias("n_words"), g["passed"].alias("passed"))
+    d = docs.select("doc_id", "lang", "text", T.gopher_metrics("text").alias("_g"))
+    d = d.select("doc_id", "lang", "text", "_g.n_words", "_g.passed")
     d = pii.mask_pii(d).withColumn("h", F.md5("text")).drop("text")
     pid = F.when(F.col("passed"), F.col("doc_id"))
     l1 = d.groupBy("h", "lang").agg(
