@@ -17,17 +17,12 @@ from pyspark.sql import functions as F
 
 from quarry.functions import patterns as pt
 from quarry.functions import text as T
+from quarry.session import reliable_checkpoint
 
 # Broadcast the NB model only below this many bytes (words and a number per label); Spark decides beyond.
 NB_BROADCAST_BYTES = 64 << 20
 
 
-def _doc_words(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, word, n): P11 whitespace words with their in-document counts."""
-    return (df.select(key, F.explode(T.split_whitespace(text)).alias("word"))
-              .groupBy(key, "word").agg(F.count(F.lit(1)).alias("n")))
-
-
 def nb_train(df: DataFrame, key: str = "doc_id", text: str = "text", label: str = "label") -> dict:
     """Multinomial NB with add-one smoothing.
 
@@ -40,7 +35,7 @@ def nb_train(df: DataFrame, key: str = "doc_id", text: str = "text", label: str
     total = df.count()
     prior = n_docs.select(label, F.log(F.col("nd") / F.lit(total)).alias("logprior"))
     words = df.select(label, F.explode(T.split_whitespace(text)).alias("word"))
-    wc = words.groupBy("word", label).agg(F.count(F.lit(1)).alias("c"))
+    wc = reliable_checkpoint(words.groupBy("word", label).agg(F.count(F.lit(1)).alias("c")))  # read four times
     class_tot = wc.groupBy(label).agg(F.sum("c").alias("tot"))
     vocab = wc.select("word").distinct()
     v, letters = vocab.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("word")), F.lit(0))).first()
@@ -54,27 +49,39 @@ def nb_train(df: DataFrame, key: str = "doc_id", text: str = "text", label: str
 def nb_predict(df: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, pred, score): argmax class (ties to the smaller label), softmax prob.
 
-    Words outside the training vocabulary are ignored.  The model is
-    broadcast only when it takes less than ``NB_BROADCAST_BYTES``.
+    Words outside the training vocabulary are ignored.  A model of less than
+    ``NB_BROADCAST_BYTES`` is broadcast, a row a word with a number per label:
+    the words of a text then meet it in the scan's own tasks, and only a row a
+    document and task is shuffled.  A larger one is joined by word, after the
+    words were counted in each document.
+
+    Rows that share a key are one text, whose share is divided by their
+    number; a null key holds no words.
     """
-    label = model["label"]
-    logp = model["logp"]
+    label, labels = model["label"], model["labels"]
+    if not labels:
+        return df.select(key, F.lit(None).cast(model["logp"].schema[label].dataType).alias("pred"), F.lit(0.0).alias("score")).limit(0)
+
+    def by_label(value: str, name: str) -> list:
+        return [F.max(F.when(F.col(label) == F.lit(x), F.col(value))).alias(f"{name}{i}") for i, x in enumerate(labels)]
+
+    logp = model["logp"].groupBy("word").agg(*by_label("logp", "_lp"))
+    words = df.select(F.col(key), F.posexplode_outer(T.split_whitespace(text)).alias("_pos", "word"))
+    first = F.coalesce(F.col("_pos"), F.lit(0)) == 0  # once a row of df
     if model["bytes"] <= NB_BROADCAST_BYTES:
         logp = F.broadcast(logp)
-    dw = _doc_words(df, key, text)
-    s = (dw.join(logp, "word").groupBy(key, label)
-           .agg(F.sum(F.col("n") * F.col("logp")).alias("ll")))
-    docs = df.select(key)
-    grid = docs.select(key, F.explode(F.array(*[F.lit(x) for x in model["labels"]])).alias(label))
-    s = (grid.join(s, [key, label], "left").join(F.broadcast(model["prior"]), label)
-             .select(key, label, (F.coalesce(F.col("ll"), F.lit(0.0)) + F.col("logprior")).alias("score")))
-    g = s.groupBy(key).agg(
-        F.max_by(F.col(label), F.struct(F.col("score"), -F.array_position(
-            F.array(*[F.lit(x) for x in sorted(model["labels"])]), F.col(label)))).alias("pred"),
-        F.max("score").alias("best"),
-        F.collect_list("score").alias("all"))
-    prob = F.lit(1.0) / F.aggregate("all", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("best")))
-    return g.select(key, "pred", prob.alias("score"))
+        words = words.select(key, "word", F.lit(1).alias("_n"), first.cast("int").alias("_rows"))
+    else:
+        words = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("_n"), F.count_if(first).alias("_rows"))
+    found = (words.join(logp, "word", "left").groupBy(key)
+                  .agg(F.sum("_rows").alias("_rows"), *[F.sum(F.col("_n") * F.col(f"_lp{i}")).alias(f"_ll{i}") for i in range(len(labels))]))
+    prior = model["prior"].agg(*by_label("logprior", "_p"))  # one row
+    scores = F.array(*[F.when(F.col(key).isNotNull(), F.coalesce(F.col(f"_ll{i}"), F.lit(0.0))).otherwise(0.0) + F.col(f"_p{i}")
+                       for i in range(len(labels))])
+    g = found.crossJoin(F.broadcast(prior)).select(key, "_rows", scores.alias("all")).withColumn("best", F.array_max("all"))
+    pred = F.element_at(F.array(*[F.lit(x) for x in labels]), F.array_position("all", F.col("best")).cast("int"))
+    total = F.aggregate("all", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("best")))
+    return g.select(key, pred.alias("pred"), (F.lit(1.0) / (total * F.col("_rows"))).alias("score"))
 
 
 # ---------------------------------------------------------------------------
