@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators import sampling
+from quarry.operators.pii import mask_pii
 from quarry.plans.wiki import process_articles
 
 ODD = ["", " ", "\n", "word", " a\tb\x1c c\x85d e ", "\r\nx\r\n", "it's _ - 12 中文...\n...  \nz...", "a​b", None]
@@ -28,6 +29,16 @@ def test_every_count_is_made_once(spark):
     spark.conf.unset("spark.sql.debug.maxToStringFields")
 
 
+def test_masks_are_made_once(spark):
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    text = "mail a.b@c.dd or 555-123-4567 from 10.0.0.1 $1"
+    masked = mask_pii(spark.createDataFrame([(text,), ("plain",), (None,)], "text string"))
+    assert passes(masked, r"regexp_(?:replace|extract_all)\(") == 6
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert [tuple(r) for r in masked.select("text", "n_email", "n_phone", "n_ip").collect()] == \
+        [("mail |||EMAIL_ADDRESS||| or |||PHONE_NUMBER||| from |||IP_ADDRESS||| $1", 1, 1, 1), ("plain", 0, 0, 0), (None, None, None, None)]
+
+
 def test_whitespace_as_python(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "i int, t string")
     got = docs.select("i", T.split_whitespace("t").alias("w"), T.py_strip("t").alias("s"), T.collapse_whitespace("t").alias("c"))
