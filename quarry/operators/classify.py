@@ -8,15 +8,20 @@ so the operators match the label/score surface and the training recipe.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import keyword_only
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.param.shared import HasInputCol, HasNumFeatures, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import patterns as pt
 from quarry.functions import text as T
+from quarry.functions.trigrams import trigram_vectors
 from quarry.session import reliable_checkpoint
 
 # Broadcast the NB model only below this many bytes (words and a number per label); Spark decides beyond.
@@ -109,13 +114,30 @@ def quality_pipeline(text: str = "text", label: str = "label", num_features: int
     ])
 
 
+class TrigramCounts(Transformer, HasInputCol, HasOutputCol, HasNumFeatures, DefaultParamsReadable, DefaultParamsWritable):
+    """Hashed counts of the character trigrams of lower-cased texts: the vectors of RegexTokenizer (pattern ""),
+    NGram(3) and HashingTF, without an array of strings a text.  A null text is an error, as it is there."""
+
+    @keyword_only
+    def __init__(self, *, inputCol: str | None = None, outputCol: str | None = None, numFeatures: int = 1 << 18):
+        super().__init__()
+        self._setDefault(numFeatures=1 << 18)
+        self._set(**self._input_kwargs)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        n = self.getNumFeatures()
+        vectors = F.arrow_udf(lambda texts: trigram_vectors(texts, n), VectorUDT())
+        text = F.col(self.getInputCol())
+        # Java's lower case, as the tokenizer's; F.lower has another rule for a sigma beside signs and digits.
+        lower = F.when(text.isNotNull(), F.java_method(F.lit("org.apache.commons.lang3.StringUtils"), F.lit("lowerCase"), text))
+        return df.withColumn(self.getOutputCol(), vectors(lower).alias(self.getOutputCol(), metadata={"ml_attr": {"num_attrs": n}}))
+
+
 def language_pipeline(text: str = "text", label: str = "lang", num_features: int = 1 << 16) -> Pipeline:
     """M1: character trigram counts -> multinomial Naive Bayes."""
     return Pipeline(stages=[
         StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc"),
-        RegexTokenizer(inputCol=text, outputCol="_chars", pattern="", gaps=True, toLowercase=True),
-        NGram(n=3, inputCol="_chars", outputCol="_tri"),
-        HashingTF(inputCol="_tri", outputCol="_x", numFeatures=num_features),
+        TrigramCounts(inputCol=text, outputCol="_x", numFeatures=num_features),
         NaiveBayes(featuresCol="_x", labelCol="_y", modelType="multinomial"),
     ])
 
