@@ -7,7 +7,8 @@ follow from one matrix of a row per bucket and a column per label,
 G = X^T (P - Y): dE = G W^T and dW = E^T G.  So a training round sends E W to
 the tasks, sums G by bucket as a Spark aggregation and takes the step on the
 driver; what travels is buckets x labels numbers, however many texts there are
-and whatever the embedding's width.
+and whatever the embedding's width.  The rounds read the texts as blocks of
+bucket numbers (``packed``), written once.
 
 Bounds: ``buckets`` x ``dim`` numbers on the driver, ``buckets`` x labels in a
 task, at most ``MOST_CELLS`` of the latter (checked).
@@ -32,6 +33,8 @@ from quarry.functions import text as T
 from quarry.session import reliable_checkpoint
 
 MOST_CELLS = 1 << 24
+#: Features whose numbers a task lays out at a time (whole texts).
+BLOCK = 1 << 18
 
 
 @dataclass
@@ -67,38 +70,72 @@ def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy())
 
 
-def _shares(table: np.ndarray, flat: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Softmax shares of each row; equal shares without features."""
-    logits = np.zeros((len(size), table.shape[1]))
+def _blocks(flat: np.ndarray, size: np.ndarray):
+    """(rows, features) slices of whole rows with about ``BLOCK`` features each."""
+    ends = np.cumsum(size, dtype=np.int64)
+    firsts = np.flatnonzero(np.diff((ends - size) // BLOCK, prepend=-1)) if len(size) else []
+    for a, b in zip(firsts, [*firsts[1:], len(size)], strict=True):
+        yield slice(a, b), slice(ends[a] - size[a], ends[b - 1])
+
+
+def _shares(columns: np.ndarray, flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Softmax shares of each row, given a row of ``columns`` a label; equal shares without features."""
+    logits = np.zeros((len(size), len(columns)))
     some = np.flatnonzero(size)
     if len(some):
-        logits[some] = np.add.reduceat(table[flat], (np.cumsum(size) - size)[some], axis=0) / size[some, None]
+        starts = (np.cumsum(size, dtype=np.int64) - size)[some]
+        for k, column in enumerate(columns):
+            logits[some, k] = np.add.reduceat(column[flat], starts) / size[some]
     p = np.exp(logits - logits.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
 
 
+def packed(rows: DataFrame, buckets: int) -> DataFrame:
+    """Rows (y, x) as blocks (y, size, x) of numbers in bytes: labels, numbers of features, buckets end to end.
+
+    A training round then reads a few large values, two bytes a feature for
+    up to 65,536 buckets, instead of an array a text.  Blocks are dealt evenly
+    over the task slots, since each task sends a row per bucket.
+    """
+    kind = "<u2" if buckets <= 1 << 16 else "<i4"
+
+    def run(batches):
+        for batch in batches:
+            flat, size = _flat(batch.column("x"))
+            y = batch.column("y").to_numpy(zero_copy_only=False)
+            for r, f in _blocks(flat, size):
+                yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in (
+                    y[r].astype("<i4"), size[r].astype("<i4"), flat[f].astype(kind))], ["y", "size", "x"])
+
+    return rows.mapInArrow(run, "y binary, size binary, x binary").repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def gradient_sums(rows: DataFrame, table: np.ndarray) -> tuple[np.ndarray, float]:
-    """(X^T (P - Y), summed loss) over rows (y, x): partial sums in the tasks, added up by bucket."""
+    """(X^T (P - Y), summed loss) over rows (y, x) or their blocks: partial sums in the tasks, added up by bucket."""
     buckets, n_labels = table.shape
-    shared = rows.sparkSession.sparkContext.broadcast(table)
+    blocks = rows if "size" in rows.columns else packed(rows, buckets)
+    kind = "<u2" if buckets <= 1 << 16 else "<i4"
+    shared = rows.sparkSession.sparkContext.broadcast(np.ascontiguousarray(table.T))
     names = [f"g{k}" for k in range(n_labels)]
 
     def run(batches):
-        sums, loss = np.zeros((buckets, n_labels)), 0.0
+        sums, loss = np.zeros((n_labels, buckets)), 0.0
         for batch in batches:
-            flat, size = _flat(batch.column("x"))
-            y = batch.column("y").to_numpy(zero_copy_only=False)
-            p = _shares(shared.value, flat, size)
-            loss -= float(np.log(np.maximum(p[np.arange(len(y)), y], 1e-300)).sum())
-            p[np.arange(len(y)), y] -= 1
-            weight = np.repeat(p / np.maximum(size, 1)[:, None], size, axis=0)
-            for k in range(n_labels):
-                sums[:, k] += np.bincount(flat, weights=weight[:, k], minlength=buckets)
-        at = np.flatnonzero(sums.any(1))
-        grown = np.vstack([sums[at], [[loss] + [0.0] * (n_labels - 1)]])
+            for y, size, flat in zip(*(batch.column(c) for c in ("y", "size", "x")), strict=True):
+                y, size = (np.frombuffer(v.as_buffer(), "<i4") for v in (y, size))
+                flat = np.frombuffer(flat.as_buffer(), kind).astype(np.intp)
+                p = _shares(shared.value, flat, size)
+                loss -= float(np.log(np.maximum(p[np.arange(len(y)), y], 1e-300)).sum())
+                p[np.arange(len(y)), y] -= 1
+                p /= np.maximum(size, 1)[:, None]
+                for k in range(n_labels - 1):
+                    sums[k] += np.bincount(flat, weights=np.repeat(p[:, k], size), minlength=buckets)
+        sums[-1] = -sums[:-1].sum(0)  # a row of P - Y adds up to 0
+        at = np.flatnonzero(sums.any(0))
+        grown = np.vstack([sums.T[at], [[loss] + [0.0] * (n_labels - 1)]])
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), *[pa.array(grown[:, k]) for k in range(n_labels)]], ["b", *names])
 
-    parts = rows.mapInArrow(run, "b int, " + ", ".join(f"{c} double" for c in names))
+    parts = blocks.mapInArrow(run, "b int, " + ", ".join(f"{c} double" for c in names))
     got = parts.groupBy("b").agg(*[F.sum(c).alias(c) for c in names]).toPandas()
     shared.destroy()
     out, b, g = np.zeros((buckets, n_labels)), got["b"].to_numpy(), got[names].to_numpy()
@@ -130,8 +167,8 @@ def train(df: DataFrame, label: str = "label", text: str = "text", dim: int = 10
     if not labels or len(labels) > most:
         raise ValueError(f"need 1 to {most} labels for {buckets} buckets")
     code = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(label)) - 1
-    rows = reliable_checkpoint(known.select(code.cast("int").alias("y"), feature_buckets(text, buckets).alias("x")))
-    n = rows.count()
+    rows = reliable_checkpoint(packed(known.select(code.cast("int").alias("y"), feature_buckets(text, buckets).alias("x")), buckets))
+    n = rows.agg(F.sum(F.octet_length("y") / 4)).first()[0]
     rng = np.random.default_rng(seed)
     embedding = rng.uniform(-1 / dim, 1 / dim, (buckets, dim)).astype(np.float32)
     layer = rng.uniform(-1, 1, (dim, len(labels))) / np.sqrt(dim)
@@ -151,11 +188,12 @@ def train(df: DataFrame, label: str = "label", text: str = "text", dim: int = 10
 def predict(df: DataFrame, model: LowRankModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, pred, score) of every row: the label of the largest share, and that share."""
     table = model.table
-    shared = df.sparkSession.sparkContext.broadcast(table)
+    shared = df.sparkSession.sparkContext.broadcast(np.ascontiguousarray(table.T))
 
     def run(batches):
         for batch in batches:
-            p = _shares(shared.value, *_flat(batch.column("x")))
+            flat, size = _flat(batch.column("x"))
+            p = np.vstack([np.zeros((0, len(shared.value))), *[_shares(shared.value, flat[f], size[r]) for r, f in _blocks(flat, size)]])
             best = p.argmax(1)
             yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(best, pa.int32()), pa.array(p[np.arange(len(p)), best])], ["k", "y", "score"])
 

@@ -76,3 +76,24 @@ def test_odd_rows(spark):
     assert {r.score for r in lowrank.predict(df, only).collect()} == {1.0}
     with pytest.raises(ValueError):
         lowrank.train(df.limit(0))
+
+
+def test_blocks_hold_every_row_and_feature(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(int(rng.integers(3)), [int(b) for b in rng.integers(0, 300, n)]) for n in [0, 0, 5, 40, 0, 7, 8, 9, 100, 1, 0]]
+    df = spark.createDataFrame(rows, "y int, x array<int>").coalesce(1)
+    table = rng.standard_normal((300, 3))
+    want = lowrank.gradient_sums(df, table)
+    blocks = lowrank.packed(df, 300)
+    assert blocks.columns == ["y", "size", "x"] and blocks.count() == 1       # bytes, no array a text
+    flat, size = np.concatenate([x for _, x in rows]).astype(int), np.array([len(x) for _, x in rows])
+    monkeypatch.setattr(lowrank, "BLOCK", 10)
+    cut = [*lowrank._blocks(flat, size)]
+    assert len(cut) > 3
+    assert np.concatenate([np.arange(len(size))[r] for r, _ in cut]).tolist() == list(range(len(size)))
+    assert np.concatenate([flat[f] for _, f in cut]).tolist() == flat.tolist()
+    assert [size[r].sum() for r, _ in cut] == [len(flat[f]) for _, f in cut]
+    wide = np.vstack([table, np.zeros((70_000, 3))])                          # more buckets than two bytes name
+    got = lowrank.gradient_sums(lowrank.packed(df, len(wide)), wide)
+    assert np.allclose(got[0][:300], want[0], atol=1e-12) and not got[0][300:].any() and abs(got[1] - want[1]) < 1e-9
+    assert lowrank.packed(df.limit(0), 300).count() == 0
