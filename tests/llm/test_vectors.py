@@ -41,6 +41,81 @@ def test_nearest_against_brute_force(spark):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def piece(x, projections=256, width=1.5, miss=0.02):
+    lines, half = ann.frames(x.shape[1], projections), width / np.sqrt(x.shape[1])
+    return ann.SortedLines(x, lines, ann.threshold(lines, half, miss), half)
+
+
+def test_collisions_select_few_rows_and_keep_the_neighbours():
+    """Random directions, the hardest case: two thirds of the rows were verified before."""
+    x = np.random.default_rng(12).standard_normal((4096, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    queries = x[::64]
+    d = np.sqrt(((queries[:, None] - x[None]) ** 2).sum(2))
+    q, r = piece(x).search(queries, np.sort(d, axis=1)[:, 10])
+    want = np.argsort(d, axis=1)[:, :11]
+    found = set(zip(q.tolist(), r.tolist()))
+    assert len(found) == len(q) <= 0.1 * d.size
+    assert np.mean([(i, int(j)) in found for i, row in enumerate(want) for j in row]) >= 0.98
+
+
+def test_no_collision_is_lost_by_counting_bit_strings():
+    rng = np.random.default_rng(13)
+    for n, dim, projections in ((1, 3, 4), (77, 5, 13), (1000, 24, 64)):
+        x, queries = rng.standard_normal((n, dim)), rng.standard_normal((9, dim))
+        index, radius = piece(x, projections), np.array([0.0, 0.1, 0.5, 1, 2, 3, 5, 50, np.inf])
+        apart = np.abs((x @ index.lines)[None] - (queries @ index.lines)[:, None])
+        sure = (apart <= radius[:, None, None] * index.half).sum(2) >= index.least
+        got = np.zeros((9, n), bool)
+        got[index.search(queries, radius)] = True
+        assert (got | ~sure).all() and got[-2:].all()
+    strings = [rng.integers(0, 2 ** 63, 20).astype(np.uint64) for _ in range(37)]
+    ones = lambda s: np.unpackbits(s.view(np.uint8), bitorder="little").astype(int)
+    assert (sum(ones(d) << i for i, d in enumerate(ann.added(strings))) == sum(ones(s) for s in strings)).all()
+
+
+def test_nearest_over_many_blocks_with_bounds_from_a_part(spark):
+    rng = np.random.default_rng(14)
+    x = rng.standard_normal((5000, 24))
+    x[1000:1400] = x[7] + 1e-3 * rng.standard_normal((400, 24))
+    x[2000:3000] = x[9]
+    x[4000] = 1e200
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = {}
+    for r in ann.nearest(df, df.filter("vec_id % 40 = 0"), k=10, per_block=700).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert set(got) == set(range(0, 5000, 40))
+    hits = 0
+    for q, found in got.items():
+        with np.errstate(over="ignore"):
+            d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        want = [i for i in np.lexsort((np.arange(len(x)), d)) if i != q][:10]
+        found.sort()
+        assert [f[0] for f in found] == list(range(1, 11)) and all(s == d[i] for _, i, s in found)
+        if 2000 <= q < 3000:
+            assert [i for _, i, _ in found] == want
+        hits += len(set(want) & {i for _, i, _ in found})
+    assert hits >= 0.99 * 10 * len(got)
+
+
+def test_nearest_of_small_tables_and_of_ids_that_repeat(spark):
+    schema = "vec_id long, embedding array<double>"
+    few = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(5)] + [(7, [1.0])], schema)
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in ann.nearest(few, few, k=10).collect())
+    assert got == [(q, n + 1, i, float(abs(i - q))) for q in range(5) for n, i in enumerate(sorted(set(range(5)) - {q}, key=lambda i: (abs(i - q), i)))]
+    rng = np.random.default_rng(15)
+    x = rng.standard_normal((3000, 8))
+    x[1:30] = x[0] + np.repeat(np.eye(8) * 1e-3, 4, axis=0)[:29]  # ids 1 to 29, ten of which come twice at one distance
+    ids = np.arange(3000)
+    ids[1:21] = np.repeat(np.arange(1, 11), 2)
+    ids[2990:] = 0
+    df = spark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in zip(ids, x)], schema).repartition(3)
+    d = np.sqrt(((x[None] - x[ids == 0][:, None]) ** 2).sum(2))
+    want = sorted({(s, int(i)) for row in d for s, i in zip(row, ids) if i != 0})[:10]
+    got = sorted((r["rank"], r.score, r.vec_id) for r in ann.nearest(df, df.filter("vec_id = 0"), k=10).collect())
+    assert [(s, i) for _, s, i in got] == want
+
+
 def test_links_and_components_against_brute_force(spark):
     x, rows = table()
     got = {r.vec_id: r for r in near_duplicates(spark.createDataFrame(rows, SCHEMA), k=6, leaf=16, per_block=50).collect()}
