@@ -5,14 +5,15 @@ frames; per piece of vectors each line is a sorted array.  A query opens a
 window around its own projection on every line, as wide as its radius asks, and
 a vector found in the windows of at least ``threshold`` of the lines is verified
 with its exact distance.  The threshold is one that all but ``miss`` of the
-vectors at the radius itself reach, and nearer ones more surely; frames count
-with less than half the variance of as many independent lines.
-
-A radius comes from the table: a query first meets a sixteenth of it, where it
-widens all windows by a constant factor (virtual rehashing) until enough vectors
-collide; the distance of the k-th best is an upper bound of that in the whole
-table, with which it meets the other rows, and which shrinks as nearer ones are
-found.  So the vectors verified follow the radius, not the number of blocks.
+vectors at the radius itself reach, and nearer ones more surely; counts over
+whole frames vary less than those over as many independent lines.
+
+A radius comes from the table: a query first meets a part of it (a sixteenth,
+2,048 vectors at least), where it widens all windows by a constant factor
+(virtual rehashing) until enough vectors collide; the distance of the k-th best
+is an upper bound of that in the whole table, with which it meets the other
+rows, and which shrinks as nearer ones are found.  So the vectors verified
+follow the radius, not the number of blocks.
 
 Collisions are counted for 64 vectors at a time: a line keeps the rows before
 each of ``steps`` places as a bit string, a window is the difference of two of
