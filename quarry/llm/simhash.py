@@ -14,7 +14,9 @@ joined; fingerprints of crowded cells are linked through their one-bit
 variants instead (two fingerprints within 2 bits share a variant, and all
 holders of a variant are within 2 bits of each other, so a star around the
 smallest keeps them connected).  No cell is dropped and no group is expanded
-into all its pairs.
+into all its pairs.  Spark sizes an exploded table like the table before the
+explode (33 and 65 times too low here), so tables of cells and variants are
+joined by sorting, never broadcast.
 
 Cases: a null or empty text, or one without words, has fingerprint zero and
 links like any other; fewer words than a shingle give one shingle of the whole
@@ -103,7 +105,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 2, crowded: int = 64) -> D
                 .select("fp", F.explode(_cells("point")).alias("cell")))
     met = settled(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
                        .filter("n > 1"))
-    members = settled(cells.join(met.filter("n > 2").select("cell", "n"), "cell"))
+    members = settled(cells.hint("merge").join(met.filter("n > 2").select("cell", "n"), "cell"))
     near = members.filter(F.col("n") <= crowded)
     small = near.select("cell", F.col("fp").alias("a")).join(near.select("cell", F.col("fp").alias("b")), "cell") \
                 .filter("a < b")
@@ -111,7 +113,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 2, crowded: int = 64) -> D
     flips = [F.col("fp")] + [F.col("fp").bitwiseXOR(F.lit(1 << i if i < 63 else -(1 << 63)).cast("long")) for i in range(64)]
     variants = hot.select("fp", F.explode(F.array(*flips)).alias("variant"))
     least = variants.groupBy("variant").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    stars = variants.join(least.select("variant", "a"), "variant").filter("fp != a").select("a", F.col("fp").alias("b"))
+    stars = variants.hint("merge").join(least.select("variant", "a"), "variant").filter("fp != a").select("a", F.col("fp").alias("b"))
     pairs = met.filter("n = 2").select("a", "b").unionByName(small.select("a", "b")).unionByName(stars)
     return pairs.distinct().filter(_distance("a", "b") <= max_bits)
 

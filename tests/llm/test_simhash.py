@@ -95,6 +95,27 @@ def test_crowded_cells_lose_no_connection(spark):
         assert all(got.get(f, f) == want[f] for f in signed)
 
 
+def test_exploded_cells_and_variants_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes them like the fingerprints alone, which may be small enough."""
+    from quarry.llm import simhash
+
+    rnd = random.Random(5)
+    fps = [rnd.getrandbits(63) for _ in range(300)] + [1 << i for i in range(30)]
+    ran, real = [], simhash.settled
+    monkeypatch.setattr(simhash, "settled", lambda df: real(ran.append(df) or df))
+    edges = fingerprint_links(spark.createDataFrame([(f,) for f in fps], "fp long").distinct(), 2, 3)
+    assert edges.count() >= 29
+    below = []
+    for df in [*ran, edges]:
+        lines, inside = df._jdf.queryExecution().executedPlan().toString().split("\n"), None
+        for line in lines:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            inside = None if inside is not None and depth <= inside else inside
+            inside = depth if inside is None and "BroadcastExchange" in line else inside
+            below += [line] * (inside is not None and "Generate" in line)
+    assert len(ran) == 2 and not below
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 80)] + [(7, 7), (500, 400)]
     df = spark.createDataFrame(edges, "a long, b long")
