@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v) without vectors that are null, empty, zero or hold null or non-finite components; repeated rows once."""
+def finite(vectors: DataFrame, kind: str = "double") -> DataFrame:
+    """(vec_id, v) without vectors that are null, empty, zero or hold null or non-finite components; elements of ``kind``."""
     v = F.col("v")
-    finite = F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
+    every = F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     rows = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()) \
-                  .select("vec_id", F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0)).alias("v"))
-    return rows.filter((F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0)).dropDuplicates(["vec_id", "v"])
+                  .select("vec_id", F.transform("embedding", lambda x: x.cast(kind) + F.lit(0.0).cast(kind)).alias("v"))
+    return rows.filter((F.size(v) > 0) & every & F.exists(v, lambda x: x != 0))
+
+
+def usable(vectors: DataFrame) -> DataFrame:
+    """The rows of ``finite``, repeated rows once."""
+    return finite(vectors).dropDuplicates(["vec_id", "v"])
+
+
+def digests(v: str) -> Column:
+    """SHA-256 of a vector's components."""
+
+    def run(vectors: pd.Series) -> pd.Series:
+        return pd.Series([hashlib.sha256(np.ascontiguousarray(x).tobytes()).digest() for x in vectors], dtype=object)
+
+    return F.pandas_udf(run, "binary")(F.col(v))
 
 
 def classes(rows: DataFrame, least_ids: int, salts: int = 64) -> DataFrame:

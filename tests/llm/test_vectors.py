@@ -214,3 +214,57 @@ def test_saturated_lists_double_until_all_groups_are_joined(spark):
     got = {r.vec_id: r for r in near_duplicates(df, k=5, leaf=16).collect()}
     assert [got[i].n_links for i in range(120)] == want_links
     assert [got[i].component_id for i in range(120)] == want_root
+
+
+def test_files_of_steps_that_ended_are_deleted(spark):
+    """Shuffle files and intermediate tables of all rounds stayed on disk: over 100 times the vectors."""
+    import gc
+    import os
+
+    x, rows = table(300)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(2).cache()
+    df.count()
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return sum(f.length() for f in (disk.getAllFiles().apply(i) for i in range(disk.getAllFiles().size())) if f.getName().endswith(".data"))
+
+    top = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")
+
+    def kept():
+        return {f"{d}/{f}": os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(top) for f in names if not f.endswith(".crc")}
+
+    shuffle, files = shuffled(), set(kept())
+    out = near_duplicates(df, k=6, leaf=16, per_block=50)
+    assert shuffled() <= shuffle
+    left = {f: n for f, n in kept().items() if f not in files and "/nn-" in f}
+    assert left and sum(left.values()) < 300 * 16 * 8
+    assert not [f for f in kept() if f not in files and "/nn-" not in f and os.path.getsize(f) > 300 * 16 * 8]
+    assert out.count() == len({r[0] for r in rows} - {None})
+    df.unpersist()
+
+
+def test_passes_change_no_list_and_no_count(spark):
+    from quarry.llm import nn_descent
+
+    rng = np.random.default_rng(21)
+    x = rng.standard_normal((240, 12))
+    x[:150] = x[0] + 0.05 * rng.standard_normal((150, 12))
+    shelf = nn_descent.Shelf(spark)
+    nodes = spark.createDataFrame([(i, 1 + i % 3, [float(c) for c in v], i) for i, v in enumerate(x)], "gid long, n long, x array<double>, own long")
+    lists = shelf.put("start", nn_descent._leaves(shelf, "lists", nodes, 240, 2, 16, 5))
+    once = nn_descent._refine(shelf, "once", lists, nodes, 240, 5)
+    passes = nn_descent._refine(shelf, "passes", lists, nodes, 240, 5, sent=300)
+    assert sorted((r.u, r.v) for r in once.collect()) == sorted((r.u, r.v) for r in passes.collect())
+    roots = spark.createDataFrame([(i, 0 if i < 150 else 150) for i in range(240)], "node long, component long")
+    wanted = roots.select("component").distinct()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = u @ u.T >= 0.9
+    np.fill_diagonal(link, False)
+    link[:150, 150:] = link[150:, :150] = False
+    want = (link @ (1 + np.arange(240) % 3)).tolist()
+    for sent in (None, 500):
+        got = nn_descent._component_counts(shelf, nodes, 240, roots, wanted, 40, 0.9, sent=sent)
+        assert [n for _, n in sorted((r.u, r.links) for r in got.collect())] == want
