@@ -229,7 +229,8 @@ def test_files_of_steps_that_ended_are_deleted(spark):
     disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
     def shuffled():
-        return sum(f.length() for f in (disk.getAllFiles().apply(i) for i in range(disk.getAllFiles().size())) if f.getName().endswith(".data"))
+        files = disk.getAllFiles().toList()  # one look: others may delete files meanwhile
+        return sum(f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().endswith(".data"))
 
     top = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")
 
